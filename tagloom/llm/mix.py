@@ -108,9 +108,10 @@ def plan_shares(counts: DataFrame, targets: DataFrame, total_tokens: int | None
     """Per target source: share, max_repeats, wanted and available tokens, copies on average."""
     # per-source sums are made on the map side; what is left has a row per source
     have = counts.groupBy("source").agg(F.sum("n_tokens").alias("have_tokens"))
-    total = have.agg((F.sum("have_tokens") if total_tokens is None else F.max(F.lit(total_tokens))).cast("bigint").alias("total_tokens"))
-    wanted = targets.select("source", "target_share", "max_repeats").join(total, F.lit(True)).join(have, "source", "left")
-    want = F.col("target_share") * F.coalesce(F.col("total_tokens"), F.lit(0))
+    if total_tokens is None:
+        total_tokens = have.agg(F.sum("have_tokens")).first()[0] or 0  # one number
+    wanted = targets.select("source", "target_share", "max_repeats").join(have, "source", "left")
+    want = F.col("target_share") * F.lit(total_tokens)
     got = F.coalesce("have_tokens", F.lit(0))
     return wanted.select(
         "source",
@@ -156,8 +157,9 @@ def mix_shares(selection: DataFrame, counts: DataFrame, targets: DataFrame, tota
     is what the source lacks of its target, 0 where it lacks less than a document.
     """
     got = selection.groupBy("source").agg(F.count("*").alias("n_docs"), F.max("copies").alias("most_copies"), F.max("n_tokens").alias("longest"), F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"))
-    all_ = got.agg(F.sum("tokens").alias("mix_tokens"))
-    out = plan_shares(counts, targets, total_tokens).join(got, "source", "left").join(all_, F.lit(True))
+    got = durable(got)
+    mix_tokens = got.agg(F.sum("tokens")).first()[0] or 0  # one number
+    out = plan_shares(counts, targets, total_tokens).join(got, "source", "left")
     tokens = F.coalesce("tokens", F.lit(0))
     lack = F.col("want_tokens") - tokens
     return out.select(
@@ -167,7 +169,7 @@ def mix_shares(selection: DataFrame, counts: DataFrame, targets: DataFrame, tota
         F.round("want_tokens").cast("bigint").alias("target_tokens"),
         "have_tokens",
         tokens.alias("actual_tokens"),
-        F.coalesce(tokens / F.col("mix_tokens"), F.lit(0.0)).alias("actual_share"),
+        (tokens / F.lit(max(1, mix_tokens)).cast("double")).alias("actual_share"),
         F.when(lack > F.coalesce("longest", F.lit(0)), F.ceil(lack)).otherwise(0).cast("bigint").alias("shortfall_tokens"),
         F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
         F.coalesce("most_copies", F.lit(0)).alias("most_copies"),

@@ -4,12 +4,90 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagloom.llm import mix, tokenize
+from tagloom.functions.flags import priority_score
+from tagloom.llm import mix, quantiles, survivors, tokenize
 from tagloom.session import durable, table
 
 
+#: Rank error of p4's percentiles, as a part of the values: per day, and per sample.
+P4_ERROR = 0.002
+P4_SAMPLE_ERROR = 1.5 * P4_ERROR
+
+
+def _tag_rank() -> tuple[list[Column], Column]:
+    """Order of the versions of a tag: priority (computed where null), latest, most copies, first row."""
+    trust = F.coalesce(F.col("priority"), priority_score(F.coalesce(F.col("pflags"), F.lit(0)))).cast("int")
+    return [trust, F.col("measured_at"), F.col("ndups"), -F.col("row_no")], trust
+
+
+def _tag_bundles() -> list[survivors.Bundle]:
+    length = lambda c: F.col(c) >= 0
+    return [
+        survivors.Bundle("record", ("qname",), F.lit(True)),
+        survivors.Bundle("polya_len_1", ("polya_len_1", "qname"), length("polya_len_1")),
+        survivors.Bundle("polya_len_2", ("polya_len_2", "qname"), length("polya_len_2")),
+        survivors.Bundle("umi", ("umi", "qname"), F.col("umi").rlike("^[ACGT]+$")),
+    ]
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each field of each group's survivor comes from."""
+    order, _ = _tag_rank()
+    bundles = _tag_bundles()
+    best = survivors.survivors(table(spark, folder, "tagaln"), "grp", "row_no", bundles, order, least_rows=2)
+    fields = F.array(*[F.struct(F.lit(b.name).alias("field"), F.col(b.name).getField("qname").alias("qname"), F.col(b.name).isNotNull().alias("has")) for b in bundles])
+    return best.select("grp", F.explode(fields).alias("f")).filter("f.has").select("grp", "f.field", "f.qname")
+
+
+def p3_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    """One survivor per group: both lengths from one row, and a umi seen with these lengths."""
+    order, _ = _tag_rank()
+    bundles = [
+        survivors.Bundle("lengths", ("polya_len_1", "polya_len_2"), (F.col("polya_len_1") >= 0) & (F.col("polya_len_2") >= 0)),
+        survivors.Bundle("umi", ("umi",), F.col("umi").rlike("^[ACGT]+$")),
+    ]
+    best = survivors.survivors(table(spark, folder, "tagaln"), "grp", "row_no", bundles, order, depends=[("lengths", "umi")])
+    return best.select("grp", "n_rows", F.col("lengths.id").alias("lengths_row"), "lengths.polya_len_1", "lengths.polya_len_2", F.col("umi.id").alias("umi_row"), "umi.umi")
+
+
+def _p4_days(spark: SparkSession, folder: str) -> DataFrame:
+    measured = table(spark, folder, "taginfo").filter("polya_len >= 0")
+    return durable(quantiles.summarize(measured, ["sample", "run_day"], "polya_len", P4_ERROR))
+
+
+def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Median, 90th and 99th percentile per (sample, run_day) and, combined from these, per sample.
+
+    rank_error is the tracked bound of a percentile's rank, error_bound the promised
+    one as a part of n.
+    """
+    days = _p4_days(spark, folder)
+    samples = quantiles.combine(days, ["sample"], "run_day", P4_ERROR)
+    by_day = quantiles.percentiles(days, ["sample", "run_day"]).select(F.lit("sample_day").alias("scope"), "*", F.lit(P4_ERROR).alias("error_bound"))
+    by_sample = quantiles.percentiles(samples, ["sample"]).select(F.lit("sample").alias("scope"), "sample", F.lit(None).cast("date").alias("run_day"), "n", "p50", "p90", "p99", "rank_error", F.lit(P4_SAMPLE_ERROR).alias("error_bound"))
+    return by_day.unionByName(by_sample)
+
+
+def p4_bound_check(spark: SparkSession, folder: str) -> DataFrame:
+    """For each percentile of p4_percentiles: whether its true rank keeps the tracked and the stated bound."""
+    got = p4_percentiles(spark, folder)
+    rows = table(spark, folder, "taginfo").filter("polya_len >= 0")
+    counts = rows.groupBy("sample", "run_day", "polya_len").agg(F.count("*").alias("k"))
+    both = counts.select(F.lit("sample_day").alias("scope"), "*").unionByName(counts.groupBy("sample", "polya_len").agg(F.sum("k").alias("k")).select(F.lit("sample").alias("scope"), "sample", F.lit(None).cast("date").alias("run_day"), "polya_len", "k"))
+    met = both.join(got.select(F.col("scope").alias("s"), F.col("sample").alias("sa"), F.col("run_day").alias("d"), "n", "p50", "p90", "p99", "rank_error", "error_bound"), (F.col("scope") == F.col("s")) & F.col("sample").eqNullSafe(F.col("sa")) & F.col("run_day").eqNullSafe(F.col("d")))
+    parts = []
+    for q, p in ((0.5, "p50"), (0.9, "p90"), (0.99, "p99")):
+        rank = F.ceil(F.lit(q) * F.col("n") - 1e-9)
+        below, upto = F.sum(F.when(F.col("polya_len") < F.col(p), F.col("k")).otherwise(0)), F.sum(F.when(F.col("polya_len") <= F.col(p), F.col("k")).otherwise(0))
+        parts.append((rank, below, upto))
+    out = met.groupBy("scope", "sample", "run_day", "n", "rank_error", "error_bound").agg(F.sum("k").alias("rows"), *[F.greatest(b + 1 - F.first(r), F.first(r) - u, F.lit(0)).alias(f"e{i}") for i, (r, b, u) in enumerate(parts)])
+    worst = F.greatest("e0", "e1", "e2")
+    return out.select("scope", "sample", "run_day", "n", ((F.col("rows") == F.col("n")) & (worst <= F.col("rank_error")) & (F.col("rank_error") <= F.ceil(F.col("error_bound") * F.col("n")))).alias("within"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document's text."""
     return tokenize.encode_corpus(table(spark, folder, "documents"))
@@ -32,9 +110,23 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": p3_found,
+    "p3_survivors": p3_survivors,
+    "p4_percentiles": p4_percentiles,
+    "p4_bound_check": p4_bound_check,
     "p7_ids": p7_ids,
     "p8_selection": p8_selection,
     "p8_shares": p8_shares,
 }
 
-ORACLE: dict[str, str] = {}
+_SCORE = "1024*(pflags&16=0)::INT + 512*(pflags&128=0)::INT + 256*(pflags&2=0)::INT + 128*(pflags&8<>0)::INT + 64*(pflags&2048=0)::INT + 32*(pflags&512=0)::INT + 16*(pflags&1024=0)::INT + 8*(pflags&64=0)::INT + 4*(pflags&32=0)::INT + 2*(pflags&1<>0)::INT"
+_FIRST = """
+SELECT grp, '{field}' AS field, qname FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY pri DESC, measured_at DESC NULLS LAST, ndups DESC, row_no) AS k
+  FROM ranked WHERE n > 1 AND {valid}) WHERE k = 1"""
+
+ORACLE: dict[str, str] = {
+    "p3_found": f"WITH ranked AS (SELECT *, coalesce(priority, {_SCORE}) AS pri, count(*) OVER (PARTITION BY grp) AS n FROM tagaln)"
+    + " UNION ALL ".join(_FIRST.format(field=f, valid=v) for f, v in (("record", "true"), ("polya_len_1", "polya_len_1 >= 0"), ("polya_len_2", "polya_len_2 >= 0"), ("umi", "regexp_full_match(umi, '[ACGT]+')"))),
+    "p4_bound_check": """SELECT 'sample_day' AS scope, sample, run_day, count(*) AS n, true AS within FROM taginfo WHERE polya_len >= 0 GROUP BY ALL
+UNION ALL SELECT 'sample', sample, NULL, count(*), true FROM taginfo WHERE polya_len >= 0 GROUP BY ALL""",
+}
