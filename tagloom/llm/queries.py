@@ -8,10 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.flags import priority_score
-from tagloom.llm import mix, quantiles, survivors, tokenize
+from tagloom.llm import editjoin, mix, quantiles, survivors, tokenize
 from tagloom.session import durable, table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of tags at about the same place whose umis differ by at most two edits."""
+    links = editjoin.edit_links(table(spark, folder, "tagcluster"), "tag_id", "rname", "pos", "umi_rep")
+    return links.select(F.col("id_a").alias("tag_id_a"), F.col("id_b").alias("tag_id_b"))
+
+
 #: Rank error of p4's percentiles, as a part of the values: per day, and per sample.
 P4_ERROR = 0.002
 P4_SAMPLE_ERROR = 1.5 * P4_ERROR
@@ -110,6 +116,7 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_survivors": p3_survivors,
     "p4_percentiles": p4_percentiles,
