@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.flags import priority_score
-from tagloom.llm import editjoin, mix, quantiles, survivors, tokenize
+from tagloom.llm import editjoin, langid, mix, quantiles, survivors, tokenize
 from tagloom.session import durable, table
 
 
@@ -115,6 +115,22 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix_shares(mix.mix_sources(counts, targets), counts, targets)
 
 
+def _judged(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    codes = langid.label_codes(table(spark, folder, "languages"))
+    return langid.judge_documents(documents, langid.train(langid.sample_texts(documents, codes)), codes)
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts whose label is missing or wrong, and passages in another language than their text."""
+    return langid.wrong_labels(_judged(spark, folder))
+
+
+def p9_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Language and confidence of each text (para_no 0) and each of its prose passages."""
+    return _judged(spark, folder).select("doc_id", "para_no", "lang", "confidence")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p3_found": p3_found,
@@ -124,6 +140,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_ids": p7_ids,
     "p8_selection": p8_selection,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_languages": p9_languages,
 }
 
 _SCORE = "1024*(pflags&16=0)::INT + 512*(pflags&128=0)::INT + 256*(pflags&2=0)::INT + 128*(pflags&8<>0)::INT + 64*(pflags&2048=0)::INT + 32*(pflags&512=0)::INT + 16*(pflags&1024=0)::INT + 8*(pflags&64=0)::INT + 4*(pflags&32=0)::INT + 2*(pflags&1<>0)::INT"
