@@ -72,49 +72,54 @@ def group_consecutive(df: DataFrame, keys: Sequence[str], value: str, width: int
     return marked.groupBy(*ks, "__i").agg(F.min("v").alias("first"), F.max("v").alias("last"), F.count("*").alias("n")).drop("__i")
 
 
-def _bins(df: DataFrame, start: str, end: str) -> tuple[Column, Column]:
-    """An interval's length class, and the width of that class's bins."""
-    length = F.greatest(F.col(f"`{end}`") - F.col(f"`{start}`"), F.lit(1))
+def _level(start: Column, end: Column) -> Column:
+    """An interval's length class."""
+    length = F.greatest(end - start, F.lit(1))
     level = F.lit(CLASSES - 1)
     for k in reversed(range(CLASSES - 1)):
         level = F.when(length <= SMALLEST * BASE**k, k).otherwise(level)
-    return level, F.element_at(F.array(*[F.lit(SMALLEST * BASE**k).cast("bigint") for k in range(CLASSES)]), level + 1)
+    return level
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], span: Sequence[str] = ("start", "end"), how: str = "inner", columns: Sequence[str] = ()) -> DataFrame:
+def _listed(start: Column, end: Column, levels: Sequence[int]) -> Column:
+    """(level, bin) of the bins that an interval touches in its own and all wider classes."""
+    own, last = _level(start, end), F.greatest(end - 1, start)
+
+    def at(k: int) -> Column:
+        size = SMALLEST * BASE**k
+        bins = F.transform(F.sequence(F.floor(start / size), F.floor(last / size)), lambda b: F.struct(F.lit(k).alias("l"), b.alias("b")))
+        return F.when(own <= k, bins).otherwise(F.array().cast("array<struct<l:int,b:bigint>>"))
+
+    return F.concat(*[at(k) for k in levels])
+
+
+def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], span: Sequence[str] = ("start", "end"), how: str = "inner") -> DataFrame:
     """Pairs of overlapping intervals with equal keys; right columns get the suffix _r.
 
-    Each right interval is listed in the one or two bins of its own length class; a left
-    interval probes the bins it touches in every class that occurs. ``how`` is inner,
+    Every interval is listed in the bins of its own length class and of the wider ones
+    that occur, in each at most two (the widest class excepted); a pair meets in the
+    class of the longer of both, in the first bin that they share. ``how`` is inner,
     left_semi or left_anti (rows of ``left``, each once). Null keys or bounds match
     nothing.
     """
     s, e = span
-    lvl, width = _bins(right, s, e)
-    names = {c: f"{c}_r" for c in right.columns}
-    r = right.withColumn("__l", lvl).withColumn("__w", width)
-    r = r.withColumn("__b", F.explode(F.sequence(F.floor(F.col(f"`{s}`") / F.col("__w")), F.floor((F.greatest(F.col(f"`{e}`") - 1, F.col(f"`{s}`"))) / F.col("__w")))))
-    r = r.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col("__l").alias("__l_r"), F.col("__b").alias("__b_r"))
+    lo, hi = F.col(f"`{s}`"), F.col(f"`{e}`")
+    bounded = lambda df: df.filter(lo.isNotNull() & hi.isNotNull())
     # the classes that occur: at most CLASSES numbers
-    levels = sorted(row[0] for row in right.select(lvl.alias("l")).distinct().collect()) or [0]
-    last = F.greatest(F.col(f"`{e}`") - 1, F.col(f"`{s}`"))
-
-    def touched(k: int) -> Column:
-        size = SMALLEST * BASE**k
-        return F.transform(F.sequence(F.floor(F.col(f"`{s}`") / size), F.floor(last / size)), lambda b: F.struct(F.lit(k).alias("l"), b.alias("b")))
-
-    probe = [touched(k) for k in levels]
-    rows = left.withColumn("__row", F.monotonically_increasing_id()) if how != "inner" else left
-    l = rows.withColumn("__p", F.explode(F.concat(*probe)))
-    same = (F.col("__p.l") == F.col("__l_r")) & (F.col("__p.b") == F.col("__b_r"))
+    levels = sorted(row[0] for row in bounded(left).select(_level(lo, hi)).union(bounded(right).select(_level(lo, hi))).distinct().collect()) or [0]
+    names = {c: f"{c}_r" for c in right.columns}
+    r = bounded(right).withColumn("__k", _level(lo, hi)).withColumn("__p", F.explode(_listed(lo, hi, levels)))
+    r = r.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col("__k").alias("__k_r"), F.col("__p").alias("__p_r"))
+    l = bounded(left).withColumn("__k", _level(lo, hi)).withColumn("__p", F.explode(_listed(lo, hi, levels)))
+    same = F.col("__p") == F.col("__p_r")
     for k in keys:
         same = same & (F.col(f"`{k}`") == F.col(names[k]))
-    overlap = (F.col(f"`{s}`") < F.col(names[e])) & (F.col(names[s]) < F.col(f"`{e}`"))
+    meet = F.col("__p.l") == F.greatest("__k", "__k_r")
+    overlap = (lo < F.col(names[e])) & (F.col(names[s]) < hi)
     if how == "inner":
-        # keep a pair in the first bin that both share
-        w = F.element_at(F.array(*[F.lit(SMALLEST * BASE**k).cast("bigint") for k in range(CLASSES)]), F.col("__l_r") + 1)
-        first = F.col("__b_r") == F.floor(F.greatest(F.col(f"`{s}`"), F.col(names[s])) / w)
-        return l.join(r, same & overlap & first).drop("__p", "__l_r", "__b_r")
-    hit = l.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{s}`"), F.col(f"`{e}`"), "__p").join(r, same & overlap, "left_semi").select(*keys, s, e).distinct()
+        width = F.element_at(F.array(*[F.lit(SMALLEST * BASE**k).cast("bigint") for k in range(CLASSES)]), F.col("__p.l") + 1)
+        first = F.col("__p.b") == F.floor(F.greatest(lo, F.col(names[s])) / width)
+        return l.join(r, same & meet & overlap & first).drop("__p", "__k", "__k_r", "__p_r")
+    hit = l.select(*[F.col(f"`{k}`") for k in keys], lo, hi, "__k", "__p").join(r, same & meet & overlap, "left_semi").select(*keys, s, e).distinct()
     # rows with the same key and bounds are alike to the join
-    return rows.drop("__row").join(hit, [*keys, s, e], how)
+    return left.join(hit, [*keys, s, e], how)
