@@ -51,7 +51,8 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, ga
     the whole key. n counts the merged ones. Empty or reversed intervals are left out.
     """
     ks = [F.col(f"`{k}`") for k in keys]
-    rows = df.select(*ks, F.col(f"`{start}`").cast("bigint").alias("start"), F.col(f"`{end}`").cast("bigint").alias("end"), F.lit(1).cast("bigint").alias("n")).filter("start < end")
+    rows = df.select(*ks, F.col(f"`{start}`").cast("bigint").alias("start"), F.col(f"`{end}`").cast("bigint").alias("end")).filter("start < end")
+    rows = rows.groupBy(*ks, "start", "end").agg(F.count("*").alias("n"))  # equal intervals would have no order
 
     def level(rows: DataFrame, part: Sequence) -> DataFrame:
         w = W.partitionBy(*part).orderBy("start", "end")

@@ -108,9 +108,9 @@ _SPANS = "s AS (SELECT line_no, seqname, lower(feature) AS feature, strand, star
 
 
 def _merge_sql(source: str, name: str) -> str:
-    return f"""{name}1 AS (SELECT *, max(en) OVER (PARTITION BY seqname, strand ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM {source} WHERE st < en),
+    return f"""{name}1 AS (SELECT *, max(en) OVER (PARTITION BY seqname, strand ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM (SELECT seqname, strand, st, en, count(*) AS k FROM {source} WHERE st < en GROUP BY ALL)),
 {name}2 AS (SELECT *, sum((far IS NULL OR st > far)::INT) OVER (PARTITION BY seqname, strand ORDER BY st, en ROWS UNBOUNDED PRECEDING) AS i FROM {name}1),
-{name} AS (SELECT seqname, strand, min(st) AS st, max(en) AS en, count(*) AS n FROM {name}2 GROUP BY seqname, strand, i)"""
+{name} AS (SELECT seqname, strand, min(st) AS st, max(en) AS en, sum(k)::BIGINT AS n FROM {name}2 GROUP BY seqname, strand, i)"""
 
 
 ORACLE: dict[str, str] = {
