@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.functions.flags import priority_score
+from tagloom.session import keyed
 
 MERGED, LOWER = -2, -3
 
@@ -138,6 +140,47 @@ def leaders(tags: list[tuple[int, str]], reach: int, edits: int) -> list[int]:
     return out
 
 
+class _Heads:
+    """Live heads of one island in order, with their trimer profiles in one array.
+
+    An edit changes at most three trimers on either side, so texts within k edits have
+    profiles at most 6 k apart: one array operation leaves few heads to compare. Letters
+    beyond A, C, G, T share profile cells, which only lets more heads pass.
+    """
+
+    def __init__(self, reach: int, edits: int) -> None:
+        self.reach, self.edits = reach, edits
+        self.heads: list[tuple[int, object, str]] = []
+        self.first = 0
+        self.profiles = np.zeros((64, 64), dtype=np.int16)
+
+    def follow(self, pos: int, row: object, text: str) -> object:
+        """The row of the head that the next tag follows; its own if it becomes a head."""
+        while self.first < len(self.heads) and self.heads[self.first][0] < pos - self.reach:
+            self.first += 1
+        n = len(self.heads)
+        if self.first > 4096 and self.first * 2 > n:
+            self.heads, self.profiles = self.heads[self.first :], self.profiles[self.first :].copy()
+            n, self.first = n - self.first, 0
+        mine = np.zeros(64, dtype=np.int16)
+        codes = [_CODE.get(c, 0) for c in text]
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            mine[a * 16 + b * 4 + c] += 1
+        near = np.flatnonzero(np.abs(self.profiles[self.first : n] - mine).sum(1) <= 6 * self.edits)
+        for i in near:
+            head = self.heads[self.first + i]
+            if _distance_within(head[2], text, self.edits):
+                return head[1]
+        if n == len(self.profiles):
+            self.profiles = np.concatenate([self.profiles, np.zeros_like(self.profiles)])
+        self.profiles[n] = mine
+        self.heads.append((pos, row, text))
+        return row
+
+
+_CODE = {c: i for i, c in enumerate("ACGT")}
+
+
 def leader_clusters(df: DataFrame, place: str, pos: str, text: str, row: str, reach: int = 4, edits: int = 2) -> DataFrame:
     """(row, head): greedy clusters of tags by position and text, in order of (pos, row).
 
@@ -151,24 +194,16 @@ def leader_clusters(df: DataFrame, place: str, pos: str, text: str, row: str, re
     marked = islands(rows, ["place"], "pos", reach, ["row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, heads, first = None, [], 0
+        at, heads = None, _Heads(reach, edits)
         for batch in batches:
             ids, out = batch.column(3).to_pylist(), []
             for place_, island, pos_, id_, text_ in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4))):
                 if (place_, island) != at:
-                    at, heads, first = (place_, island), [], 0
-                while first < len(heads) and heads[first][0] < pos_ - reach:
-                    first += 1
-                if first > 1000:
-                    heads, first = heads[first:], 0
-                head = next((h for h in heads[first:] if _distance_within(h[2], text_, edits)), None)
-                if head is None:
-                    head = (pos_, id_, text_)
-                    heads.append(head)
-                out.append(head[1])
+                    at, heads = (place_, island), _Heads(reach, edits)
+                out.append(heads.follow(pos_, id_, text_))
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(3).type), pa.array(out, batch.column(3).type)], names=["row", "head"])
 
-    sorted_ = marked.select("place", "island", "pos", "row", "text").repartition("place", "island").sortWithinPartitions("place", "island", "pos", "row")
+    sorted_ = keyed(marked.select("place", "island", "pos", "row", "text"), "place", "island").sortWithinPartitions("place", "island", "pos", "row")
     return sorted_.mapInArrow(run, f"row {kind}, head {kind}")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.session import durable
+from tagloom.session import durable, keyed
 
 #: Channel of the letter T.
 T = 3
@@ -197,7 +197,8 @@ def fit_cutoffs(hist: DataFrame, tile: str = "tile", bins: int = 1000, least: in
             cut = equal_odds(p["bin"].to_numpy(float), p["n"].to_numpy(float), q["bin"].to_numpy(float), q["n"].to_numpy(float), bins)
         return pd.DataFrame({tile: [pdf[tile].iloc[0]], "cycle": [int(pdf["cycle"].iloc[0])], "own": [cut]}, dtype=object)
 
-    own = hist.select(tile, "cycle", "positive", "bin", "n").unionByName(run.select(tile, "cycle", "positive", "bin", "n")).groupBy(tile, "cycle").applyInPandas(fit, f"{tile} string, cycle int, own double")
+    both = hist.select(tile, "cycle", "positive", "bin", "n").unionByName(run.select(tile, "cycle", "positive", "bin", "n"))
+    own = keyed(both, tile, "cycle").groupBy(tile, "cycle").applyInPandas(fit, f"{tile} string, cycle int, own double")
     own = durable(own)  # a row per tile and cycle, read twice
     whole = infer_missing(own.filter(F.col(tile).isNull()).select(F.lit("run").alias("g"), "cycle", F.col("own").alias("cutoff")), ["g"], "cycle", "cutoff").select(F.col("cycle").alias("c"), F.col("cutoff").alias("whole"))
     met = own.filter(F.col(tile).isNotNull()).join(whole, F.col("cycle") == F.col("c"), "left")

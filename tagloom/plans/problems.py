@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.operators import orphans, packed, wide
-from tagloom.session import table
+from tagloom.session import spread, table
 
 #: Fixed values of the gtf tables: list-valued names, whole-number names, entity ids.
 LIST_NAMES = ("tag", "ont", "ccdsid")
@@ -20,19 +20,20 @@ WIDE_COLUMNS = {n: "string" for n in TEXT_NAMES} | {n: "bigint" for n in NUMBER_
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every value of gtf.attribute with its line and position."""
-    return packed.explode_packed(table(spark, folder, "gtf"), "attribute", ["line_no"], LIST_NAMES)
+    return packed.explode_packed(spread(table(spark, folder, "gtf").select("line_no", "attribute")), "attribute", ["line_no"], LIST_NAMES)
 
 
 def gtf_wide(spark: SparkSession, folder: str) -> DataFrame:
     """One row per (feature, entity) of gtf with typed attribute columns."""
-    gtf = table(spark, folder, "gtf").withColumn("feature", F.lower("feature")).filter(F.col("feature").isin(*ENTITY_ID))
+    gtf = spread(table(spark, folder, "gtf").select("line_no", F.lower("feature").alias("feature"), "loaded_at", "attribute").filter(F.col("feature").isin(*ENTITY_ID)))
     entries = F.filter(packed.packed_entries(F.col("attribute")), lambda e: ~e["name"].isin(*LIST_NAMES))
     cells = F.filter(
         F.transform(entries, lambda e, i: F.struct(e["name"].alias("name"), wide.filled(e["value"], e["name"].isin(*NUMBER_NAMES)).alias("value"), i.alias("pos"))),
         lambda e: e["value"].isNotNull(),
     )
     id_name = F.element_at(F.create_map(*[F.lit(x) for kv in ENTITY_ID.items() for x in kv]), F.col("feature"))
-    lines = gtf.select("line_no", "feature", "loaded_at", cells.alias("cells"), id_name.alias("id_name"))
+    # a generator of one row keeps the optimizer from writing the parse into each of its uses
+    lines = gtf.select("line_no", "feature", "loaded_at", id_name.alias("id_name"), F.explode(F.array(cells)).alias("cells"))
     own = F.try_element_at(F.filter("cells", lambda e: e["name"] == F.col("id_name")), F.lit(-1))["value"]
     long = lines.withColumn("entity_id", own).filter("entity_id IS NOT NULL").select("feature", "entity_id", "line_no", "loaded_at", F.explode("cells").alias("c"))
     pairs = long.select("feature", "entity_id", "line_no", "loaded_at", F.col("c.name").alias("attr_name"), F.col("c.value").alias("attr_value"), F.col("c.pos").alias("pos"))

@@ -51,3 +51,38 @@ def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
     """
     want = max(1, df.sparkSession.sparkContext.defaultParallelism) * per_core
     return df if df.rdd.getNumPartitions() >= want // per_core else df.repartition(want)
+
+
+def keyed(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partitioned by columns into a fixed number of parts before a Python stage.
+
+    Such a stage costs far more than its bytes tell, so the parts must not be merged by
+    size; a grouped Python function on the same columns needs no further shuffle.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *columns)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that Python stages
+    find it wherever they run."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tagloom-ship-"), "tagloom.zip")  # on the driver, which serves it
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("tagloom", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
