@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import keyed
+
 EDITS = 2
 STRETCH = 256
 HEAVY_ROWS = 80_000
@@ -387,7 +389,7 @@ def _light_links(spread: DataFrame, reach: int) -> DataFrame:
             yield from links(held)
 
     cols = spread.select("id", "place", "pos", "s0", "s1", "stretch", "home")
-    return cols.repartition("place", "stretch").sortWithinPartitions("place", "stretch").mapInArrow(run, "id_a bigint, id_b bigint")
+    return keyed(cols, "place", "stretch").sortWithinPartitions("place", "stretch").mapInArrow(run, "id_a bigint, id_b bigint")
 
 
 def _heavy_links(spread: DataFrame, reach: int) -> DataFrame:

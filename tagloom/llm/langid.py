@@ -36,12 +36,12 @@ from tagloom.session import spread
 
 ORDER = 4
 #: Labelled documents per language that are read for training, and the longest of them in characters.
-SAMPLE_DOCS = 150
+SAMPLE_DOCS = 120
 SAMPLE_CHARS = 20_000
 #: Part of a label's passages, and their number, that must survive cleaning.
 SURVIVE, LEAST = 0.25, 3
 #: Rounds of cleaning at most.
-ROUNDS = 3
+ROUNDS = 2
 CACHED = 60_000
 
 _WORD = re.compile(r"[^\W\d_]+")
