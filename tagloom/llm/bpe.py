@@ -26,7 +26,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 #: Fixed values of the published pre-tokenizer: contractions, white space.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Exact on text without the characters of `_odd`.
 FAST = re.compile(rf"{CONTRACTIONS}| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 

@@ -45,7 +45,7 @@ ROUNDS = 2
 CACHED = 60_000
 
 _WORD = re.compile(r"[^\W\d_]+")
-_FORMAT = re.compile("[\xad​-‏‪-‮⁠-⁤﻿]")
+_FORMAT = re.compile("[\xad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]")
 _INNER = re.compile(r"\{\{[^{}]*\}\}|\{\{\{[^{}]*\}\}\}")
 _REF = re.compile(r"<ref[^<>]*/>|<ref[^<>]*>.*?</ref>|<!--.*?-->", re.S | re.I)
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>")
@@ -54,12 +54,13 @@ _LINK = re.compile(r"\[\[(?:[^\[\]|]*\|)?:?([^\[\]|]*)\]\]")
 _OUTER = re.compile(r"\[\w+://\S*\s*([^\]]*)\]|\w+://\S+")
 _LINE = re.compile(r"(?m)^\s*(?:[=*#:;|!{}].*|\[\[[^\]]*$)\n?")
 _END = re.compile(r"[.!?؟۔]+(?=[\s\"'»”’)\]]|$|[^\W\da-z_])|[。！？]+")
+_QUOTES = re.compile("'{2,}")
 _BLANK = re.compile(r"\n\s*\n")
 
 
 def passages(text: str) -> list[str]:
     """The blocks between empty lines, whatever the line ends; the first is number 1."""
-    plain = text.replace("\r\n", "\n").replace("\r", "\n").replace(" ", "\n").replace("\x85", "\n")
+    plain = text.replace("\r\n", "\n").replace("\r", "\n").replace("\u2028", "\n").replace("\u2029", "\n").replace("\x85", "\n")
     return [b for b in _BLANK.split(plain) if b.strip()]
 
 
@@ -76,7 +77,7 @@ def prose(block: str) -> str:
         block = _OUTER.sub(r"\1", _LINK.sub(r"\1", _SPECIAL.sub(" ", block)))
     if not block.isascii():
         block = _FORMAT.sub("", block)
-    return block.replace("''", "")
+    return _QUOTES.sub("", block)
 
 
 def full_sentences(text: str, enough: int = 2) -> bool:
