@@ -27,6 +27,7 @@ the cluster, so that each key holds a bounded number of distinct strings.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -345,6 +346,31 @@ def _only(spread: DataFrame, marks: list) -> DataFrame:
     return spread.filter(_mark(marks))
 
 
+def _expanded(g1: np.ndarray, g2: np.ndarray, start: np.ndarray, count: np.ndarray, most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the members of linked groups, pair by pair, in bounded pieces; within a
+    group (g1 = g2) each pair of members once."""
+    sizes = count[g1] * count[g2]
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(g1):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        if sizes[at] > most:
+            for x in range(int(count[g1[at]])):
+                first = x + 1 if g1[at] == g2[at] else 0
+                for y in range(first, int(count[g2[at]]), most):
+                    ys = np.arange(y, min(int(count[g2[at]]), y + most))
+                    yield np.full(len(ys), start[g1[at]] + x), start[g2[at]] + ys
+            at += 1
+            continue
+        n, a, b = sizes[at:stop], g1[at:stop], g2[at:stop]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        width = np.repeat(count[b], n)
+        x, y = within // width, within % width
+        keep = (np.repeat(a, n) != np.repeat(b, n)) | (x < y)
+        yield (np.repeat(start[a], n) + x)[keep], (np.repeat(start[b], n) + y)[keep]
+        at = stop
+
+
 def _light_links(spread: DataFrame, reach: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
@@ -354,17 +380,27 @@ def _light_links(spread: DataFrame, reach: int) -> DataFrame:
             s0, s1 = t.column("s0").to_pylist(), t.column("s1").to_pylist()
             place = np.unique(np.asarray(t.column("place").combine_chunks().dictionary_encode().indices), return_inverse=True)[1]
             code = np.unique(np.stack([place, stretch]), axis=1, return_inverse=True)[1].reshape(-1)
-            turned = [i for i, s in enumerate(s1) if s is not None and s != s0[i]]
-            row = np.concatenate([np.arange(len(ids)), np.array(turned, dtype=np.int64)])
-            flipped = np.arange(len(row)) >= len(ids)
-            for a, b in link_pairs([*s0, *(s1[i] for i in turned)], flipped, row, code[row], pos[row], reach):
-                # a pair that lies wholly in the overlap belongs to the stretch it came from
-                own = (home[a] == stretch[a]) | (home[b] == stretch[b])
-                a, b = ids[a[own]], ids[b[own]]
-                ok = a != b
-                for s in range(0, int(ok.sum()), 500_000):
-                    lo, hi = np.minimum(a[ok], b[ok])[s : s + 500_000], np.maximum(a[ok], b[ok])[s : s + 500_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], names=["id_a", "id_b"])
+            # copies are linked once, as one representative, and written out at the end
+            group: dict[tuple, int] = {}
+            of = np.fromiter((group.setdefault(k, len(group)) for k in zip(code.tolist(), pos.tolist(), s0, s1)), dtype=np.int64, count=len(ids))
+            count = np.bincount(of)
+            members = np.argsort(of, kind="stable")
+            start = np.cumsum(count) - count
+            rep = members[start]
+            turned = [g for g, i in enumerate(rep) if s1[i] is not None and s1[i] != s0[i]]
+            row = np.concatenate([np.arange(len(rep)), np.array(turned, dtype=np.int64)])
+            flipped = np.arange(len(row)) >= len(rep)
+            texts = [*(s0[i] for i in rep), *(s1[rep[g]] for g in turned)]
+            linked = link_pairs(texts, flipped, row, code[rep][row], pos[rep][row], reach)
+            copies = np.flatnonzero(count > 1)
+            for g1, g2 in itertools.chain([(copies, copies)] if len(copies) else [], linked):
+                for a, b in _expanded(g1, g2, start, count):
+                    a, b = members[a], members[b]
+                    # a pair that lies wholly in the overlap belongs to the stretch it came from
+                    ok = ((home[a] == stretch[a]) | (home[b] == stretch[b])) & (ids[a] != ids[b])
+                    a, b = ids[a[ok]], ids[b[ok]]
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["id_a", "id_b"])
 
         held: list[pa.Table] = []
         size = 0

@@ -298,3 +298,11 @@ def test_wrong_label_and_foreign_passage(spark):
     docs = spark.createDataFrame([(1, f"{en}\n\n{en}\n\n{de}", "en"), (2, de, "en"), (3, de, None), (4, en, "EN")], "doc_id long, text string, lang string")
     got = {tuple(r) for r in langid.wrong_labels(langid.judge_documents(docs, trees, {"en": "en", "de": "de"})).collect()}
     assert got == {(1, 3, "de"), (2, 0, "de"), (3, 0, "de")}
+
+
+def test_copies_are_written_out_in_pieces():
+    start, count = np.array([0, 3, 4]), np.array([3, 1, 5])
+    for most in (1, 2, 4, 1000):
+        got = [(int(x), int(y)) for a, b in editjoin._expanded(np.array([0, 2, 0, 1]), np.array([0, 2, 2, 2]), start, count, most) for x, y in zip(a, b)]
+        want = [(x, y) for x in range(3) for y in range(x + 1, 3)] + [(x, y) for x in range(4, 9) for y in range(x + 1, 9)] + [(x, y) for x in range(3) for y in range(4, 9)] + [(3, y) for y in range(4, 9)]
+        assert sorted(got) == sorted(want)
