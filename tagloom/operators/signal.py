@@ -213,13 +213,15 @@ def infer_missing(df: DataFrame, keys: Sequence[str], at: str, value: str, neare
     w = W.partitionBy(*ks).orderBy(x)
     known = F.when(v.isNotNull(), F.struct(x.cast("double").alias("x"), v.alias("v")))
     rows = df.withColumn("__p", F.last(known, True).over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("__n", F.first(known, True).over(w.rowsBetween(0, W.unboundedFollowing)))
-    every = F.collect_list(known).over(W.partitionBy(*ks).orderBy(x).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    rows = rows.withColumn("__all", every)
-    end = lambda part: F.aggregate(F.sort_array(F.transform(part, lambda s: s["v"])), F.array().cast("array<double>"), lambda a, y: F.concat(a, F.array(y)), lambda a: F.when(F.size(a) == 0, None).otherwise((F.get(a, F.floor((F.size(a) - 1) / 2).cast("int")) + F.get(a, F.floor(F.size(a) / 2).cast("int"))) / 2))
-    head, tail = F.slice("__all", 1, nearest), F.slice(F.reverse("__all"), 1, nearest)
+    have = df.filter(v.isNotNull()).withColumn("__a", F.row_number().over(W.partitionBy(*ks).orderBy(x))).withColumn("__z", F.row_number().over(W.partitionBy(*ks).orderBy(x.desc())))
+    ends = have.groupBy(*[k.alias(f"__k{i}") for i, k in enumerate(ks)]).agg(F.median(F.when(F.col("__a") <= nearest, v)).alias("__head"), F.median(F.when(F.col("__z") <= nearest, v)).alias("__tail"))
+    same = F.lit(True)
+    for i, k in enumerate(ks):
+        same = same & k.eqNullSafe(F.col(f"__k{i}"))
+    rows = rows.join(ends, same, "left")
     line = F.col("__p.v") + (F.col("__n.v") - F.col("__p.v")) * F.try_divide(x - F.col("__p.x"), F.col("__n.x") - F.col("__p.x"))
-    out = F.when(v.isNotNull(), v).when(F.col("__p").isNotNull() & F.col("__n").isNotNull(), line).when(F.col("__p").isNull(), end(head)).otherwise(end(tail))
-    return rows.withColumn(value, out).drop("__p", "__n", "__all")
+    out = F.when(v.isNotNull(), v).when(F.col("__p").isNotNull() & F.col("__n").isNotNull(), line).when(F.col("__p").isNull(), F.col("__head")).otherwise(F.col("__tail"))
+    return rows.withColumn(value, out).drop("__p", "__n", "__head", "__tail", *[f"__k{i}" for i in range(len(ks))])
 
 
 def refine_rounds(signals: DataFrame, hist: DataFrame, key: str, rounds: int = 1, least: int = 8) -> DataFrame:
