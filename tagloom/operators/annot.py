@@ -147,3 +147,29 @@ def principal_transcripts(transcripts: DataFrame, labels: DataFrame, key: str, g
     l = labels.select(F.split_part(F.col("transcript"), F.lit("."), F.lit(1)).alias("__b"), "label")
     met = transcripts.join(l, bare == F.col("__b"), "left").drop("__b")
     return pick_first(met, [gene], [F.coalesce("label", F.lit("~")), -F.col(length), F.col(key)], [key, "label", length])
+
+
+def adopt_gff3(lines: DataFrame) -> DataFrame:
+    """GFF3 lines (attribute: key=value;…) as GTF rows: gene, transcript and exon lines.
+
+    Transcripts (mRNA) take their gene's id and name by Parent; the CDS and UTR parts of a
+    transcript that follow each other directly are one exon. Parts of unknown transcripts
+    are left out.
+    """
+    a = gff_attributes(F.col("attribute"))
+    rows = lines.withColumn("__a", a)
+    at = lambda k: F.col("__a")[k]
+    fixed = ["seqname", "source", "start", "end", "strand"]
+    genes = rows.filter("feature = 'gene'").select(*fixed, at("ID").alias("gene_id"), F.coalesce(at("Name"), at("ID")).alias("gene_name"))
+    names = genes.select("gene_id", "gene_name")
+    trs = rows.filter("feature = 'mRNA'").select(*fixed, at("ID").alias("transcript_id"), at("Parent").alias("gene_id")).join(names, "gene_id", "left")
+    parts = rows.filter("feature IN ('CDS', 'five_prime_UTR', 'three_prime_UTR')").select(F.explode(F.split(at("Parent"), ",")).alias("transcript_id"), "start", "end")
+    known = trs.select("transcript_id", "gene_id", "gene_name", "seqname", "source", "strand")
+    exons = coalesce_exons(parts, "transcript_id", "start", "end").join(known, "transcript_id")
+    c = F.col
+
+    def line(df: DataFrame, feature: str, pairs: Sequence[tuple[str, Column]]) -> DataFrame:
+        return df.select("seqname", "source", F.lit(feature).alias("feature"), "start", "end", "strand", gtf_attributes(pairs).alias("attribute"))
+
+    g, n, t = ("gene_id", c("gene_id")), ("gene_name", c("gene_name")), ("transcript_id", c("transcript_id"))
+    return line(genes, "gene", [g, n]).unionByName(line(trs, "transcript", [g, t, n])).unionByName(line(exons, "exon", [g, t, ("exon_number", c("exon_number")), n]))

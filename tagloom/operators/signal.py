@@ -97,13 +97,17 @@ def contrast(values: Column, left: int, right: int) -> Column:
     Positions within the guards at either end don't count; ties go to the first. The
     sum of the first i + 1 values is divided by i, as the threshold was tuned on that.
     """
-    n = F.size(values)
-    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+    def run(b: Column) -> Column:
+        # sums[i] is the sum of the first i values
+        sums, n = b["sums"], F.size(b["sums"]) - 1
+        places = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i >= left) & (i < n - right) & (i > 0))
+        total = F.get(sums, n)
+        found = F.transform(places, lambda i: F.struct((F.get(sums, i + 1) / i - (total - F.get(sums, i + 1)) / F.nullif(n - i, F.lit(0))).alias("contrast"), (-i).alias("back")))
+        return F.array_max(found)
+
     sums = F.aggregate(values, F.array(F.lit(0.0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    places = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i >= left) & (i < n - right) & (i > 0))
-    # the prefix sums are bound once through a one-element array
-    found = F.transform(F.array(sums), lambda prefix: F.array_max(F.transform(places, lambda i: F.struct((F.get(prefix, i + 1) / i - (total - F.get(prefix, i + 1)) / F.nullif(n - i, F.lit(0))).alias("contrast"), (-i).alias("back")))))
-    best = F.get(found, F.lit(0))
+    best = F.get(F.transform(F.array(F.struct(sums.alias("sums"))), run), F.lit(0))
     return F.when(best.isNotNull(), F.struct(best["contrast"].alias("contrast"), (-best["back"]).alias("pos")))
 
 
@@ -301,3 +305,46 @@ def reservoir(df: DataFrame, key: Sequence[str], k: int, seed: int = 1) -> DataF
     """A uniform sample of ``k`` rows that is the same in every run: the least hashes of the key."""
     h = F.xxhash64(*[F.col(f"`{c}`") for c in key], F.lit(seed))
     return df.withColumn("__h", h).orderBy("__h", *key).limit(k).drop("__h")
+
+
+def seed_counts(df: DataFrame, tile: str, scores: str, length: str, start: str, fingerprint: str, order: Sequence[str], trigger: int = 10, boundary: int = 120, gap: int = 3, least_contrast: float = 0.35, guards: tuple[int, int] = (20, 20), shortest: int = 30, bins: int = 1000, most: int = 5) -> DataFrame:
+    """First score counts (tile, cycle, positive, bin, n) to fit cut-offs on.
+
+    Positive: reads with a tail of at least ``trigger`` whose contrast is great and lies
+    beyond ``boundary``; their scores up to ``gap`` before it count. Negative: reads
+    without a tail and at least ``shortest`` cycles, at most ``most`` per fingerprint
+    bucket; all scores count. Scores are taken from the tail's start; null scores don't
+    count.
+    """
+    s, n = F.col(f"`{scores}`"), F.size(F.col(f"`{scores}`"))
+    c = contrast(F.transform(s, lambda x: F.coalesce(x, F.lit(0.0))), *guards)
+    marked = df.withColumn("__c", c)
+    begin = F.greatest(F.col(f"`{start}`"), F.lit(0))
+    positive = marked.filter((F.col(f"`{length}`") >= trigger) & (F.col("__c.pos") >= boundary) & (F.col("__c.contrast") >= least_contrast))
+    positive = positive.withColumn("__s", F.slice(s, begin + 1, F.greatest(F.least(n, F.lit(boundary - gap)) - begin, F.lit(0))))
+    negative = fair_sample(df.filter((F.col(f"`{length}`") <= 0) & (n >= shortest)), fingerprint, order, most).withColumn("__s", F.slice(s, begin + 1, n))
+    parts = [score_bins(x.withColumn("__at", begin), [tile], "__s", bins, F.col("__at")).withColumn("positive", F.lit(p)) for x, p in ((positive, True), (negative, False))]
+    return parts[0].unionByName(parts[1]).select(tile, "cycle", "positive", "bin", "n")
+
+
+def smoothed(values: Column, weights: Sequence[float]) -> Column:
+    """Convolution with an odd number of weights; the ends are mirrored."""
+    half = len(weights) // 2
+
+    def run(values: Column) -> Column:
+        n = F.size(values)
+
+        def at(i: Column) -> Column:
+            j = F.when(i < 0, -i).when(i >= n, 2 * (n - 1) - i).otherwise(i)
+            return F.get(values, F.least(F.greatest(j, F.lit(0)), n - 1)) / float(sum(weights))
+
+        return F.transform(values, lambda x, i: sum((at(i + (k - half)) * float(w) for k, w in enumerate(weights) if k), at(i - half) * float(weights[0])))
+
+    return F.get(F.transform(F.array(values), run), F.lit(0))
+
+
+def savitzky_golay(window: int, degree: int) -> list[float]:
+    """Smoothing weights: the value at the centre of a least-squares polynomial."""
+    half = window // 2
+    powers = np.vander(np.arange(-half, half + 1), degree + 1, increasing=True)
+    return np.linalg.pinv(powers)[0].tolist()

@@ -94,6 +94,24 @@ def q_stream_capped(spark: SparkSession, folder: str) -> DataFrame:
     return _stream(spark, folder, capped, "append").groupBy("bucket").agg(F.count("*").alias("n"))
 
 
+def q_stream_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per day and type of a stream; the last open windows aren't out yet when it ends."""
+
+    def windows(stream: DataFrame) -> DataFrame:
+        return T.windowed_counts(stream, ["event_type"], "ts", "1 day", "1 hour")
+
+    return _stream(spark, folder, windows, "append").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+def q_stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of a stream that had closed when it ended."""
+
+    def closed(stream: DataFrame) -> DataFrame:
+        return T.sessions(stream, ["user_id"], "ts", "30 minutes", "1 hour")
+
+    return _stream(spark, folder, closed, "append").groupBy("user_id").agg(F.count("*").alias("sessions"), F.sum("n").alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for k, v in globals().items() if k.startswith("q_")}
 
 ORACLE: dict[str, str] = {

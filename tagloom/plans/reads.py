@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import flags as FL
 from tagloom.functions import seq as S
+from tagloom.functions import sqlfn
 from tagloom.functions.special import required_letters
+from tagloom.operators import annot as A
 from tagloom.operators import reads as R
 from tagloom.plans.common import dna, dna_sql
 from tagloom.session import table
@@ -171,6 +173,21 @@ def q_chimera(spark: SparkSession, folder: str) -> DataFrame:
     return out.groupBy("user_id").agg(F.count("*").alias("n"))
 
 
+def q_sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """The functions that are registered for SQL."""
+    sqlfn.register(spark)
+    _tails(spark, folder).createOrReplaceTempView("tagloom_tails")
+    return spark.sql("SELECT p_partkey, reverse_complement(seq) AS rc, hamming_distance(seq, reverse(seq)) AS h, trailing_run(seq, 'T') AS t, bare_id(concat(seq, '.1')) AS bare, edit_within(seq, concat(seq, 'A'), 1) AS near, has_flag(CAST(p_partkey AS INT), 4) AS four, coalesce(best_segment(seq).start, -1) AS seg FROM tagloom_tails")
+
+
+def q_best_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """The best alignment of each customer's reads: longest match, then quality, then first."""
+    o = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    c = _cigars(spark, folder).select("o_orderkey", "cigar").join(o, "o_orderkey")
+    quality = F.pmod("o_orderkey", F.lit(60)).cast("int")
+    return A.pick_first(c.withColumn("mapq", quality).withColumn("span", S.match_span(F.col("cigar"))), ["o_custkey"], [-F.col("span"), -F.col("mapq"), F.col("o_orderkey")], ["o_orderkey", "span", "mapq"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for k, v in globals().items() if k.startswith("q_")}
 
 def _mm(word: str, col: str = "idx", at: int = 1) -> str:
@@ -248,6 +265,14 @@ SELECT a AS id_a, b AS id_b, CASE WHEN levenshtein(x,y) <= 2 THEN levenshtein(x,
     "q_trimer_l1": f"""WITH p AS (SELECT p_partkey, {dna_sql("p_partkey", 12)} AS a, {dna_sql("p_partkey + 1", 12)} AS b FROM part),
 w AS (SELECT p_partkey, substr(a,i,3) AS t, 1 AS k FROM p, range(1,11) r(i) UNION ALL SELECT p_partkey, substr(b,i,3), -1 FROM p, range(1,11) r(i))
 SELECT p_partkey, sum(abs(c))::INT AS d FROM (SELECT p_partkey, t, sum(k) AS c FROM w GROUP BY ALL) GROUP BY p_partkey""",
+    "q_sql_functions": f"""WITH r AS (SELECT p_partkey, {dna_sql("p_partkey", 24, TAILY)} AS seq FROM part), BESTSEGMENT
+SELECT r.p_partkey, {_RC.format("seq")} AS rc, hamming(seq, reverse(seq))::INT AS h, (length(seq) - length(rtrim(seq,'T')))::INT AS t, seq AS bare, true AS near, r.p_partkey & 4 <> 0 AS four, coalesce(st, -1)::INT AS seg FROM r LEFT JOIN z ON z.p_partkey = r.p_partkey AND k = 1 AND score >= 1""",
+    "q_best_alignment": """WITH a AS (SELECT o_custkey, o_orderkey, (20 + o_orderkey%11) + 5 + 9 + 3 AS span, (o_orderkey % 60)::INT AS mapq FROM orders)
+SELECT o_custkey, o_orderkey, span, mapq FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY span DESC, mapq DESC, o_orderkey) AS k FROM a) WHERE k = 1""",
     "q_chimera": """WITH e AS (SELECT user_id, epoch(ts)::BIGINT AS pos, event_type FROM events WHERE event_type IN ('error','purchase')), l AS (SELECT * FROM e WHERE event_type='error'), r AS (SELECT * FROM e WHERE event_type='purchase')
 SELECT user_id, count(*) AS n FROM l WHERE user_id IN (SELECT user_id FROM r) AND user_id NOT IN (SELECT l.user_id FROM l JOIN r ON l.user_id=r.user_id AND abs(l.pos-r.pos)<36000) GROUP BY user_id""",
 }
+
+# the segment search is the same text in both
+_SEGMENT = ORACLE["q_best_segment"]
+ORACLE["q_sql_functions"] = ORACLE["q_sql_functions"].replace("BESTSEGMENT", _SEGMENT[_SEGMENT.index("c AS (") : _SEGMENT.rindex("SELECT r.p_partkey")])

@@ -114,6 +114,17 @@ def q_reservoir(spark: SparkSession, folder: str) -> DataFrame:
     return S.reservoir(table(spark, folder, "orders"), ["o_orderkey"], 100).select("o_orderkey", "o_orderstatus")
 
 
+def q_smoothed(spark: SparkSession, folder: str) -> DataFrame:
+    v = _values(spark, folder).select("vec_id", S.smoothed(F.col("v"), [1.0, 2.0, 1.0]).alias("s"))
+    return v.select("vec_id", F.posexplode("s").alias("place", "x")).filter("place BETWEEN 1 AND 62").select("vec_id", "place", F.round("x", 6).alias("x"))
+
+
+def q_seed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """First counts for the fit, over short synthetic signals; checked in the tests."""
+    v = _values(spark, folder).select("vec_id", F.col("label").cast("string").alias("tile"), "v", F.when(F.pmod("vec_id", F.lit(2)) == 0, 20).otherwise(0).alias("len"), F.lit(0).alias("start"), F.md5(F.col("vec_id").cast("string")).alias("fp"))
+    return S.seed_counts(v, "tile", "v", "len", "start", "fp", ["vec_id"], boundary=10, gap=3, least_contrast=0.0, guards=(5, 5))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for k, v in globals().items() if k.startswith("q_")}
 
 _V = "v AS (SELECT vec_id, coalesce(label,0) AS label, list_transform(embedding, lambda x: round(x::DOUBLE + 0.5, 4)) AS v FROM embeddings WHERE embedding IS NOT NULL)"
@@ -137,5 +148,6 @@ j AS (SELECT w.*, p.m AS pm, n.m AS nm FROM w LEFT JOIN k p ON p.sample = w.samp
 r AS (SELECT sample, m, row_number() OVER (PARTITION BY sample ORDER BY day) AS a, row_number() OVER (PARTITION BY sample ORDER BY day DESC) AS z FROM k WHERE m IS NOT NULL),
 h AS (SELECT sample, median(m) FILTER (a <= 5) AS hm, median(m) FILTER (z <= 5) AS tm FROM r GROUP BY sample)
 SELECT j.sample, day::INT AS day, round(CASE WHEN m IS NOT NULL THEN m WHEN pd IS NOT NULL AND nd IS NOT NULL THEN pm + (nm-pm)*(day-pd)/(nd-pd)::DOUBLE WHEN pd IS NULL THEN hm ELSE tm END,6) AS m FROM j LEFT JOIN h ON j.sample = h.sample""",
+    "q_smoothed": f"WITH {_E}, s AS (SELECT vec_id, i, (lag(x) OVER w + 2*x + lead(x) OVER w)/4 AS x FROM e WINDOW w AS (PARTITION BY vec_id ORDER BY i)) SELECT vec_id, i::INT AS place, round(x,6) AS x FROM s WHERE i BETWEEN 1 AND 62",
     "q_fair_sample": f"SELECT o_orderkey, seq FROM (SELECT o_orderkey, {dna_sql('o_orderkey', 4)} AS seq, row_number() OVER (PARTITION BY {dna_sql('o_orderkey', 4)} ORDER BY o_orderkey) AS k FROM orders) WHERE k <= 5",
 }

@@ -266,3 +266,40 @@ def test_configuration(tmp_path):
     assert c["qc"] == {"a": 1, "b": 3} and c["reads"] == {"R5": [1, 51]}
     assert c["limits"] == {"x": 2, "y": 2, "s": {"deep": {"x": 1, "y": 1, "s": 1}}}
     assert config.spikeins_first({"s": 8, "t": 0}, ["x", "s", "t"]) == ["t", "s", "x"]
+
+
+def test_gff3_adoption(spark):
+    rows = [
+        ("c", "s", "gene", 1, 100, "+", "ID=g1;Name=abc"),
+        ("c", "s", "mRNA", 1, 100, "+", "ID=t1;Parent=g1;x=1;x=2"),
+        ("c", "s", "five_prime_UTR", 1, 10, "+", "Parent=t1"),
+        ("c", "s", "CDS", 11, 40, "+", "Parent=t1"),
+        ("c", "s", "CDS", 60, 80, "+", "Parent=t1"),
+        ("c", "s", "three_prime_UTR", 81, 100, "+", "Parent=t1"),
+        ("c", "s", "CDS", 5, 9, "+", "Parent=unknown"),
+    ]
+    df = spark.createDataFrame(rows, "seqname string, source string, feature string, start int, end int, strand string, attribute string")
+    out = sorted((r["feature"], r["start"], r["end"], r["attribute"]) for r in annot.adopt_gff3(df).collect())
+    assert out == [
+        ("exon", 1, 40, 'gene_id "g1"; transcript_id "t1"; exon_number "1"; gene_name "abc";'),
+        ("exon", 60, 100, 'gene_id "g1"; transcript_id "t1"; exon_number "2"; gene_name "abc";'),
+        ("gene", 1, 100, 'gene_id "g1"; gene_name "abc";'),
+        ("transcript", 1, 100, 'gene_id "g1"; transcript_id "t1"; gene_name "abc";'),
+    ]
+
+
+def test_seed_counts(spark):
+    high, low = [0.9] * 15 + [0.1] * 25, [0.2] * 40
+    rows = [("t", high, 12, 2, "a", 1), ("t", low, 0, 0, "a", 2), ("t", low, 0, 0, "a", 3), ("t", low[:10], 0, 0, "b", 4), ("t", high, 5, 0, "c", 5)]
+    df = spark.createDataFrame(rows, "tile string, s array<double>, n int, st int, fp string, i int")
+    out = signal.seed_counts(df, "tile", "s", "n", "st", "fp", ["i"], boundary=12, gap=3, guards=(5, 5), most=1)
+    got = {(r["cycle"], r["positive"], r["bin"]): r["n"] for r in out.collect()}
+    assert {k: v for k, v in got.items() if k[1]} == {(c, True, 900): 1 for c in range(2, 9)}
+    assert {k: v for k, v in got.items() if not k[1]} == {(c, False, 200): 1 for c in range(40)}
+
+
+def test_smoothing(spark):
+    w = signal.savitzky_golay(5, 2)
+    assert abs(sum(w) - 1) < 1e-9 and abs(w[2] - 17 / 35) < 1e-9
+    r = one(spark, signal.smoothed(F.array(*[F.lit(float(x)) for x in (1, 2, 4)]), [1.0, 2.0, 1.0]))
+    assert r[0] == [1.5, 2.25, 3.0]
