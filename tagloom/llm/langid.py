@@ -13,9 +13,9 @@ languages that is computed once per worker and looked up afterwards; so are the
 of passages that occur again, as in revisions of a page.
 
 Training uses a bounded sample of labelled texts and doesn't trust the labels: the
-sample is split in two, each half is judged by models of the other, and only passages
-that agree with their label train the final models. A label of which hardly anything
-survives is no language of this collection.
+sample is split in two, each half is coded by trees of the other, labels whose texts
+other languages explain as well are dropped, and only passages that agree with their
+label train the final trees.
 """
 
 from __future__ import annotations
@@ -38,10 +38,9 @@ ORDER = 4
 #: Labelled documents per language that are read for training, and the longest of them in characters.
 SAMPLE_DOCS = 120
 SAMPLE_CHARS = 20_000
-#: Part of a label's passages, and their number, that must survive cleaning.
-SURVIVE, LEAST = 0.25, 3
-#: Rounds of cleaning at most.
-ROUNDS = 2
+#: A label is a language if this part of its passages, and this number, has a code of at most
+#: CLEARLY times the length that the other languages give it.
+SURVIVE, LEAST, CLEARLY = 0.4, 3, 0.85
 CACHED = 60_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -196,20 +195,23 @@ class Judge:
         self.at[word] = i
         return i
 
+    def total(self, found: list[str]) -> np.ndarray:
+        """Code length of a list of words under each language."""
+        if len(self.at) + len(found) >= CACHED:
+            self.at.clear()
+        if len(found) > CACHED // 2:  # a very long passage: its words by number
+            return sum(self.trees.word_bits(w) * k for w, k in Counter(found).items())
+        at = self.at
+        rows = [at[w] if w in at else self._add(w) for w in found]
+        return self.bits[rows].sum(0)
+
     def __call__(self, found: list[str]) -> tuple[int, float]:
         """Best language of a list of words and the confidence in it.
 
         The confidence is the language's share of the probabilities that the code
         lengths stand for, per eight letters, so that it doesn't saturate with length.
         """
-        if len(self.at) + len(found) >= CACHED:
-            self.at.clear()
-        if len(found) > CACHED // 2:  # a very long passage: in pieces
-            total = sum(self.trees.word_bits(w) * k for w, k in Counter(found).items())
-        else:
-            at = self.at
-            rows = [at[w] if w in at else self._add(w) for w in found]
-            total = self.bits[rows].sum(0)
+        total = self.total(found)
         best = int(total.argmin())
         odds = np.exp2((total[best] - total) / max(1, sum(map(len, found))) * 8)
         return best, float(1 / odds.sum())
@@ -223,34 +225,44 @@ def judged(text: str | None) -> Iterator[tuple[int, list[str]]]:
             yield number, words(clean)
 
 
-def train(sample: list[tuple[int, str, str]]) -> Trees:
-    """Trees from (id, label, text); wrong labels and rare look-alikes are weeded out."""
+def train(sample: list[tuple[int, str, str]], frequency: dict[str, int] | None = None) -> Trees:
+    """Trees from (id, label, text); labels that are no languages here and wrong labels are weeded out.
+
+    Each half of the sample is coded by trees of the other half. The labels are then
+    taken from the most frequent one on (``frequency``: documents per label, by default
+    those of the sample): a label is a language if enough of its passages are coded
+    clearly shorter by its own tree than by any language so far. The texts of a label
+    that is only ever given wrongly are coded as well by the languages that they are in.
+    The final trees learn the passages whose shortest code is that of their label.
+    """
     parts: list[tuple[int, str, list[str]]] = []
     for i, (_, label, text) in enumerate(sorted(sample)):
-        parts += [(i % 2, label, found) for _, found in judged(text)]
+        parts += [(i % 2, label, found) for _, found in judged(text) if found]
+    said = Counter(label for _, label, _ in parts)
+    labels = sorted(said)
+    if not labels:
+        return Trees.fit({})
 
-    def fit(chosen: Iterator[tuple[str, list[str]]]) -> Trees:
-        counts: dict[str, Counter] = defaultdict(Counter)
+    def fit(chosen: Iterator[tuple[str, list[str]]], of: list[str]) -> Trees:
+        counts: dict[str, Counter] = {label: Counter() for label in of}
         for label, found in chosen:
             counts[label].update(found)
         return Trees.fit(counts)
 
-    said = Counter(label for _, label, _ in parts)
-    alive, kept = set(said), parts
-    for _ in range(ROUNDS):
-        agree: list[tuple[int, str, list[str]]] = []
-        for half in (0, 1):
-            trees = fit((label, found) for h, label, found in kept if h != half and label in alive)
-            judge = Judge(trees)
-            if trees.languages:
-                agree += [(h, label, found) for h, label, found in parts if h == half and label in alive and trees.languages[judge(found)[0]] == label]
-        counts = Counter(label for _, label, _ in agree)
-        now = {label for label in alive if counts[label] >= max(LEAST, SURVIVE * said[label])} or alive
-        same = now == alive and len(agree) == len(kept)
-        alive, kept = now, agree or kept
-        if same:
-            break
-    return fit((label, found) for _, label, found in kept if label in alive)
+    judges = [Judge(fit(((label, found) for h, label, found in parts if h != half), labels)) for half in (0, 1)]
+    bits = np.array([judges[h].total(found) for h, _, found in parts])
+    own = np.array([labels.index(label) for _, label, _ in parts])
+    often = frequency or Counter(label for _, label, _ in sample)
+    alive: list[int] = []
+    for label in sorted(labels, key=lambda x: (-often.get(x, 0), x)):
+        at = labels.index(label)
+        mine = bits[own == at]
+        clear = len(mine) if not alive else int((mine[:, at] < CLEARLY * mine[:, alive].min(1)).sum())
+        if clear >= max(LEAST, SURVIVE * len(mine)) or not alive:
+            alive.append(at)
+    best = np.array(alive)[bits[:, alive].argmin(1)]
+    names = sorted(labels[k] for k in alive)
+    return fit(((label, found) for (_, label, found), b, o in zip(parts, best, own) if b == o), names)
 
 
 def label_codes(languages: DataFrame) -> dict[str, str]:
@@ -271,6 +283,12 @@ def label_code(label: Column, codes: dict[str, str]) -> Column:
     return F.coalesce(known[clean], known[base])
 
 
+def label_counts(df: DataFrame, codes: dict[str, str]) -> dict[str, int]:
+    """Documents per known language label: as many numbers as there are known languages."""
+    rows = df.groupBy(label_code(F.col("lang"), codes).alias("code")).agg(F.count("*").alias("n")).filter("code IS NOT NULL")
+    return {r["code"]: r["n"] for r in rows.collect()}
+
+
 def sample_texts(df: DataFrame, codes: dict[str, str], docs: int = SAMPLE_DOCS) -> list[tuple[int, str, str]]:
     """At most ``docs`` labelled texts per language, picked by a hash of the id."""
     labelled = df.select("doc_id", label_code(F.col("lang"), codes).alias("code")).filter("code IS NOT NULL AND doc_id IS NOT NULL")

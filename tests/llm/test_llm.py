@@ -306,3 +306,21 @@ def test_copies_are_written_out_in_pieces():
         got = [(int(x), int(y)) for a, b in editjoin._expanded(np.array([0, 2, 0, 1]), np.array([0, 2, 2, 2]), start, count, most) for x, y in zip(a, b)]
         want = [(x, y) for x in range(3) for y in range(x + 1, 3)] + [(x, y) for x in range(4, 9) for y in range(x + 1, 9)] + [(x, y) for x in range(3) for y in range(4, 9)] + [(3, y) for y in range(4, 9)]
         assert sorted(got) == sorted(want)
+
+
+def test_a_label_that_is_only_ever_wrong_is_no_language():
+    rnd = random.Random(8)
+    vocabulary = {"en": "the man was in house and road stood near old mill with many people", "de": "der mann war nicht auf dem berg und die alte stadt lag neben einem fluss", "fr": "la vieille ville est dans une vallée avec beaucoup de maisons et un pont"}
+
+    def text(language):
+        sentence = lambda: " ".join(rnd.choice(vocabulary[language].split()) for _ in range(9)).capitalize() + "."
+        return "\n\n".join(f"{sentence()} {sentence()}" for _ in range(4))
+
+    sample = [(i, language, text(language)) for i, language in enumerate(["en", "de", "fr"] * 40)]
+    # a tenth of every label is wrong, and "ca" is given to texts of all three, as often as the others
+    sample += [(1000 + i, "ca", text(rnd.choice(["en", "de", "fr"]))) for i in range(40)]
+    sample += [(2000 + i, rnd.choice(["en", "de", "fr"]), text(rnd.choice(["en", "de", "fr"]))) for i in range(15)]
+    trees = langid.train(sample, {"en": 900, "de": 500, "fr": 300, "ca": 60})
+    assert trees.languages == ["de", "en", "fr"]
+    judge = langid.Judge(trees)
+    assert all(trees.languages[judge(langid.words(text(x)))[0]] == x for x in vocabulary for _ in range(20))
