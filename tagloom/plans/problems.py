@@ -108,7 +108,33 @@ found AS (SELECT src_table, ref_field, row_no, strftime(num.loaded_at, '%Y-%m')
   FROM num LEFT JOIN keys ON num.target = keys.target AND TRY_CAST(regexp_extract(ref, '^(\d+)(\.0*)?$', 1) AS BIGINT) = k)
 """
 
+# entries are matched whole here, instead of lifting quoted spans out first
+_ENTRY = r"""[^\s=;|]+(?:\s*=\s*|\s+)?(?:"(?:[^"\\]|\\.|"")*"|''(?:[^''\\]|\\.|'''')*''|[^;|]*)"""
+_P5 = (
+    r"""
+WITH l AS (SELECT line_no, lower(feature) AS feature, loaded_at, regexp_extract_all(attribute, 'ENTRY') AS es FROM gtf WHERE attribute IS NOT NULL),
+e AS (SELECT line_no, feature, loaded_at, i, es[i] AS e FROM l, range(1, len(es) + 1) t(i)),
+r AS (SELECT *, lower(regexp_extract(e, '^([^\s=]+)', 1)) AS name, regexp_replace(regexp_extract(e, '^[^\s=]+(?:\s*=\s*|\s+)?(.*)$', 1), '\s+$', '') AS raw FROM e),
+q AS (SELECT *, CASE WHEN length(raw) > 1 AND raw[1] IN ('"', '''') AND raw[1] = raw[-1] THEN raw[1] END AS quote FROM r),
+n AS (SELECT line_no, feature, loaded_at, i, name, CASE WHEN quote IS NULL THEN raw ELSE
+  regexp_replace(replace(regexp_replace(substr(raw, 2, length(raw) - 2), '\\(["''])', '\1', 'g'), quote || quote, quote), '^\s+|\s+$', '', 'g') END AS value FROM q WHERE name <> '')
+"""
+).replace("ENTRY", _ENTRY)
+_LISTS = ", ".join(f"'{n}'" for n in LIST_NAMES)
+_NUMBERS = ", ".join(f"'{n}'" for n in NUMBER_NAMES)
+_ID = "CASE feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ENTITY_ID.items()) + " END"
+
 ORACLE: dict[str, str] = {
+    "p1_found": _P5
+    + rf""", c AS (SELECT line_no, feature, loaded_at, i, name, CASE WHEN name IN ({_NUMBERS}) THEN nullif(regexp_extract(value, '^0*(\d+)', 1), '')
+  WHEN regexp_matches(value, '[A-Za-z0-9]') AND lower(value) NOT IN ('na', 'n/a', 'null') THEN value END AS v FROM n WHERE name NOT IN ({_LISTS}) AND {_ID} IS NOT NULL),
+o AS (SELECT line_no, max_by(v, i) AS entity_id FROM c WHERE v IS NOT NULL AND name = {_ID} GROUP BY line_no),
+k AS (SELECT feature, entity_id, name, v, row_number() OVER (PARTITION BY feature, entity_id, name ORDER BY loaded_at DESC NULLS LAST, line_no DESC, i DESC) AS k FROM c JOIN o USING (line_no) WHERE v IS NOT NULL)
+SELECT feature, entity_id, name AS attr_name, v AS attr_value FROM k WHERE k = 1""",
+    "p5_found": _P5
+    + rf""", m AS (SELECT line_no, i, name, value, CASE WHEN name IN ({_LISTS}) THEN regexp_extract_all(value, '[A-Za-z0-9_:.\-]+') ELSE [] END AS ms FROM n),
+x AS (SELECT line_no, i, name, CASE WHEN len(ms) > 0 THEN ms ELSE [value] END AS vs FROM m), y AS (SELECT line_no, i, j, name, vs[j] AS v FROM x, range(1, len(vs) + 1) t(j))
+SELECT line_no, (row_number() OVER (PARTITION BY line_no ORDER BY i, j))::INT AS pos, name AS attr_name, v AS attr_value FROM y""",
     "p6_found": _P6 + "SELECT * FROM found WHERE kind IS NOT NULL",
     "p6_report": _P6 + "SELECT src_table, ref_field, period, kind, count(*) AS n_refs FROM found WHERE kind IS NOT NULL GROUP BY ALL",
 }
