@@ -43,8 +43,9 @@ def corrected(raw: Column, inverse: Sequence[float]) -> Column:
 def normalized(signal: Column, low: Sequence[float], band: Sequence[float]) -> Column:
     """Channels scaled to their range, negative ones 0, then to a sum of 1; null where all are 0 (dark)."""
     scaled = F.array(*[F.greatest(F.lit(0.0), (F.get(signal, F.lit(k)) - float(low[k])) / float(band[k])) for k in range(4)])
-    total = F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x)
-    return F.when(total > 0, F.transform(scaled, lambda x: x / total))
+    # values are bound through one-element arrays, so that each is computed once
+    both = F.transform(F.array(scaled), lambda v: F.struct(v.alias("v"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("t")))
+    return F.get(F.transform(both, lambda b: F.when(b["t"] > 0, F.transform(b["v"], lambda x: x / b["t"]))), F.lit(0))
 
 
 def positive_sum(signal: Column) -> Column:
@@ -72,8 +73,8 @@ def tail_scores(signals: Column, low: Sequence[float], band: Sequence[float], in
 
     def one(cycle: Column) -> Column:
         s = corrected(cycle, inverse) if inverse is not None else F.transform(cycle, lambda x: x.cast("double"))
-        n = F.when(positive_sum(s) >= dark, normalized(s, low, band))
-        return F.struct(entropy_score(n).alias("e"), logistic_score(F.get(n, F.lit(T))).alias("t"))
+        shares = F.transform(F.array(s), lambda v: F.when(positive_sum(v) >= dark, normalized(v, low, band)))
+        return F.get(F.transform(shares, lambda n: F.struct(entropy_score(n).alias("e"), logistic_score(F.get(n, F.lit(T))).alias("t"))), F.lit(0))
 
     each = F.transform(signals, one)
     bound = F.transform(F.array(each), lambda xs: F.transform(xs, lambda x, i: F.struct((x["e"] * x["t"]).alias("score"), F.coalesce(x["e"] < F.get(xs, i - 1)["e"], F.lit(False)).alias("downhill"))))
