@@ -153,10 +153,14 @@ def q_parse_read_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_levenshtein_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Bounded edit distance of umis that share tile place: an equi-join, never all pairs."""
+    """Bounded edit distance of all pairs of umis that share their place; -1 beyond 2 edits.
+
+    An equi-join on the place: every pair of a place is a row, so rows grow with the
+    square of a place's tags.
+    """
     t = table(spark, folder, "tagcluster").filter("umi_rep IS NOT NULL AND rname IS NOT NULL").select("tag_id", "rname", "pos", "umi_rep")
     a, b = t.alias("a"), t.alias("b")
-    met = a.join(b, (F.col("a.rname") == F.col("b.rname")) & (F.col("a.pos") == F.col("b.pos")) & (F.substring("a.umi_rep", 1, 3) == F.substring("b.umi_rep", 1, 3)) & (F.col("a.tag_id") < F.col("b.tag_id")))
+    met = a.join(b, (F.col("a.rname") == F.col("b.rname")) & (F.col("a.pos") == F.col("b.pos")) & (F.col("a.tag_id") < F.col("b.tag_id")))
     d = S.edit_within(F.col("a.umi_rep"), F.col("b.umi_rep"), 2)
     return met.select(F.col("a.tag_id").alias("id_a"), F.col("b.tag_id").alias("id_b"), d.alias("d"), S.hamming(F.col("a.umi_rep"), F.col("b.umi_rep")).alias("h"))
 
