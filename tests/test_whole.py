@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+from tagloom.plans import annotation as PA
 from tagloom.plans import reads as PR
 
 
@@ -28,3 +29,14 @@ def test_levenshtein_pairs_with_edits_at_the_start(spark, tmp_path):
     want = {(a[0], b[0]): d if (d := edits(a[3], b[3])) <= 2 else -1 for a in known for b in known if a[1:3] == b[1:3] and a[0] < b[0]}
     assert got == want
     assert any(d >= 0 and umis[a][:3] != umis[b][:3] for (a, b), d in want.items())
+
+
+def test_transitive_ids_of_large_ids(spark, tmp_path):
+    keys = [*range(40), *range(1990, 2010), *range(3000, 3005), 6000, 6002, 12000, 24000, 250_000]
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    edges = {k: 2 * k for k in keys if k > 0 and k % 7 != 3}
+
+    def last(k: int) -> int:
+        return last(edges[k]) if k in edges else k
+
+    assert {tuple(r) for r in PA.q_transitive_ids(spark, str(tmp_path)).collect()} == {(k, last(k)) for k in edges}
