@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 from tagloom.plans import annotation as PA
+from tagloom.plans import formats as PF
 from tagloom.plans import reads as PR
 
 
@@ -40,3 +42,13 @@ def test_transitive_ids_of_large_ids(spark, tmp_path):
         return last(edges[k]) if k in edges else k
 
     assert {tuple(r) for r in PA.q_transitive_ids(spark, str(tmp_path)).collect()} == {(k, last(k)) for k in edges}
+
+
+def test_fetched_sequences_of_all_parts(spark, tmp_path):
+    n = 1700
+    spark.range(n).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    letters = str.maketrans("0123456789abcdef", "ACGT" * 4)
+    genome = "".join(hashlib.md5(str(k).encode()).hexdigest()[:16].translate(letters) for k in range(n))
+    want = {k: genome[max(k - 5, 0) : k + 30] for k in range(n)}
+    want |= {k: s[::-1].translate(str.maketrans("ACGT", "TGCA")) for k, s in want.items() if k % 2}
+    assert {r["name"]: r["seq"] for r in PF.q_fetch_sequences(spark, str(tmp_path)).collect()} == want
