@@ -52,3 +52,17 @@ def test_fetched_sequences_of_all_parts(spark, tmp_path):
     want = {k: genome[max(k - 5, 0) : k + 30] for k in range(n)}
     want |= {k: s[::-1].translate(str.maketrans("ACGT", "TGCA")) for k, s in want.items() if k % 2}
     assert {r["name"]: r["seq"] for r in PF.q_fetch_sequences(spark, str(tmp_path)).collect()} == want
+
+
+def test_merged_groups_of_all_nations(spark, tmp_path):
+    nations, suppliers = [(0, "a"), (3, "b"), (7, "c"), (24, "d")], [(5, 7), (4, 7), (11, 3), (9, 30)]
+    customers = [(i, k) for i, k in enumerate([0, 0, 3, 7, 7, 7, 24, 31, 31])]
+    for name, rows, schema in (("nation", nations, "n_nationkey long, n_name string"), ("supplier", suppliers, "s_suppkey long, s_nationkey long"), ("customer", customers, "c_custkey long, c_nationkey long")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {tuple(r) for r in PA.q_merge_groups(spark, str(tmp_path)).collect()}
+    assert got == {(0, 1, "", 2), (3, 1, "11", 1), (7, 1, "4,5", 3), (24, 1, "", 1), (30, 0, "9", 0), (31, 0, "", 2)}
+
+
+def test_merged_groups_have_all_customers(spark, data):
+    out = PA.q_merge_groups(spark, data)
+    assert out.agg({"n2": "sum"}).first()[0] == spark.read.parquet(f"{data}/customer.parquet").count()
