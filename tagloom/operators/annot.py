@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tagloom.operators.packed import packed_entries
 from tagloom.session import durable
 
 
@@ -114,12 +115,20 @@ def with_description(genes: DataFrame, descriptions: DataFrame, gene_id: str, ve
     return first.withColumn("__w", F.when(F.col("__one").isNull(), whole)).join(d, F.col("__w") == F.col("__d"), "left").withColumn("description", F.coalesce("__one", "description")).drop("__one", "__w", "__d")
 
 
-def gff_attributes(text: Column) -> Column:
-    """key=value;… as a map; a key that occurs again keeps its last value."""
-    pairs = F.filter(F.split(text, ";"), lambda x: F.instr(x, "=") > 1)
-    entries = F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.trim(F.substring(x, F.instr(x, "=") + 1, F.length(x))).alias("value")))
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
+def gff_attributes(text: Column, fold: bool = False) -> Column:
+    """key=value;… as a map; a key that occurs again keeps its last value.
+
+    ``fold`` puts the keys in lower case. Delimiters in quotes are part of the value, which comes out without the quotes. Of a
+    line of both styles, entries of the form name value are in the map, too.
+    """
+
+    def as_map(entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(entries, lambda e: e["name"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["name"] == k), -1)["value"]))
+
+    # bound once through a one-element array, as in packed_entries
+    once = F.get(F.transform(F.array(packed_entries(text, ";", fold=fold)), as_map), F.lit(0))
+    return F.when(text.isNotNull(), once)
 
 
 def gtf_attributes(pairs: Sequence[tuple[str, Column]]) -> Column:

@@ -36,15 +36,16 @@ def _trim(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-def packed_entries(text: Column, delimiters: str = ";|", quotes: str = "\"'") -> Column:
+def packed_entries(text: Column, delimiters: str = ";|", quotes: str = "\"'", fold: bool = True) -> Column:
     """``array<struct<name, value>>`` of the entries of a packed field, in order.
 
     An entry is a name, then blanks or an equals sign, then the value. Names come
-    out in lower case, values without enclosing quotes and outer blanks. Blank
+    out in lower case (as they are without ``fold``), values without enclosing quotes and outer blanks. Blank
     entries are left out; a name alone has the value ''. Null text gives an empty
     array. A quote that is never closed is ordinary text.
     """
     pattern = _quoted(quotes)
+    cased = F.lower if fold else lambda x: x
     safe = F.replace(F.coalesce(text, F.lit("")), F.lit(OPEN), F.lit(f"{OPEN}{LITERAL}{CLOSE}"))
     spans = F.regexp_extract_all(safe, F.lit(pattern), F.lit(0))
     gaps = F.split(safe, pattern, -1)
@@ -70,7 +71,7 @@ def packed_entries(text: Column, delimiters: str = ";|", quotes: str = "\"'") ->
         return F.transform(
             parts,
             lambda x: F.struct(
-                F.lower(restored(F.regexp_extract(x, r"(?s)^([^\s=]+)", 1), True)).alias("name"),
+                cased(restored(F.regexp_extract(x, r"(?s)^([^\s=]+)", 1), True)).alias("name"),
                 restored(F.regexp_extract(x, r"(?s)^[^\s=]+(?:\s*=\s*|\s+)?(.*)$", 1), True).alias("value"),
             ),
         )

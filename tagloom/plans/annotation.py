@@ -173,9 +173,9 @@ def q_attr_explode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_gff_attributes(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of the key=value style as maps, written anew in the other style."""
-    g = table(spark, folder, "gtf").filter("attribute LIKE '%_id=%' AND attribute NOT LIKE '%\"%' AND attribute NOT LIKE '% %'")
-    m = A.gff_attributes(F.col("attribute"))
+    """Lines with an id of the key=value style as maps, written anew in the other style."""
+    g = table(spark, folder, "gtf").filter(F.col("attribute").rlike(r"(?i)_id\s*="))
+    m = A.gff_attributes(F.col("attribute"), fold=True)
     return g.select("line_no", A.gtf_attributes([("gene_id", m["gene_id"]), ("transcript_id", m["transcript_id"])]).alias("gtf"))
 
 

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
+from pyspark.sql import functions as F
+
+from tagloom.operators import annot
 from tagloom.plans import annotation as PA
 from tagloom.plans import formats as PF
 from tagloom.plans import reads as PR
@@ -66,3 +70,33 @@ def test_merged_groups_of_all_nations(spark, tmp_path):
 def test_merged_groups_have_all_customers(spark, data):
     out = PA.q_merge_groups(spark, data)
     assert out.agg({"n2": "sum"}).first()[0] == spark.read.parquet(f"{data}/customer.parquet").count()
+
+
+GFF = {
+    "gene_id=g1;transcript_id=t1.2;level=3": 'gene_id "g1"; transcript_id "t1.2";',
+    'transcript_id=t2;gene_id=g2;note="merged from a; gene_id=wrong; c";': 'gene_id "g2"; transcript_id "t2";',
+    "exon_id=e;gene_id=g3;transcript_id=t3;exon_number=1 (assigned to previous version 1)": 'gene_id "g3"; transcript_id "t3";',
+    ' gene_id  "g4"; ;transcript_id = "t4.1";;': 'gene_id "g4"; transcript_id "t4.1";',
+    ';transcript_id t5;gene_id="g5"; ;level 1': 'gene_id "g5"; transcript_id "t5";',
+    'GENE_ID="g9"; transcript_id=t9': 'gene_id "g9"; transcript_id "t9";',
+    "gene_id=g6;gene_id=g7": 'gene_id "g7";',
+    'gene_id "g8"; transcript_id "t8";': None,
+}
+
+
+def test_gff_attributes_of_quoted_and_blank_values(spark, tmp_path):
+    lines = [*GFF, None]
+    spark.createDataFrame(list(enumerate(lines)), "line_no long, attribute string").write.parquet(f"{tmp_path}/gtf.parquet")
+    got = {lines[r["line_no"]]: r["gtf"] for r in PA.q_gff_attributes(spark, str(tmp_path)).collect()}
+    assert got == {k: v for k, v in GFF.items() if v}
+    cases = {'ID=t1;Note="a; b=c";x=1 (d e);x=2;Alias=': {"ID": "t1", "Note": "a; b=c", "x": "2", "Alias": ""}, "": {}, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "a string").select("a", annot.gff_attributes(F.col("a")).alias("m"))
+    assert {r["a"]: r["m"] for r in df.collect()} == cases
+
+
+def test_gff_attributes_of_all_given_lines(spark, data):
+    g = [r["attribute"] for r in spark.read.parquet(f"{data}/gtf.parquet").collect()]
+    want = [a for a in g if a and re.search(r"(?i)_id\s*=", a)]
+    got = [r["gtf"] for r in PA.q_gff_attributes(spark, data).collect()]
+    found = sum(bool(re.search(r"(?i)(?<!\w)transcript_id[\s=]", a)) for a in want)
+    assert len(got) == len(want) and sum("transcript_id" in x for x in got) == found
