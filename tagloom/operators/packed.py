@@ -81,6 +81,16 @@ def packed_entries(text: Column, delimiters: str = ";|", quotes: str = "\"'", fo
     return F.filter(F.get(once, F.lit(0)), lambda e: e["name"] != "")
 
 
+def first_values(text: Column, names: Sequence[str]) -> Column:
+    """Struct of the first value of each name (in lower case) in a packed field, null where there is none."""
+
+    def named(name: str):
+        return lambda e: e["name"] == name
+
+    pick = lambda es: F.struct(*[F.get(F.filter(es, named(n)), F.lit(0))["value"].alias(n) for n in names])
+    return F.get(F.transform(F.array(packed_entries(text)), pick), F.lit(0))
+
+
 def explode_packed(
     df: DataFrame,
     column: str,

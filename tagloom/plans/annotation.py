@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import seq as S
 from tagloom.operators import annot as A
 from tagloom.operators import joins as J
-from tagloom.operators.packed import packed_entries
+from tagloom.operators.packed import first_values, packed_entries
 from tagloom.plans.common import dna, dna_sql
 from tagloom.session import table
 
@@ -124,8 +124,9 @@ def q_principal_pick(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _gtf(spark: SparkSession, folder: str) -> DataFrame:
-    g = table(spark, folder, "gtf").filter("attribute IS NOT NULL")
-    return g.select("line_no", F.lower("feature").alias("feature"), "strand", "start_pos", "end_pos", S.quoted_attribute(F.col("attribute"), "transcript_id").alias("tid"), S.quoted_attribute(F.col("attribute"), "gene_id").alias("gid"), "attribute")
+    """Lines with their ids in whatever form they are written; an id that a line lacks is ''."""
+    g = table(spark, folder, "gtf").filter("attribute IS NOT NULL").withColumn("ids", first_values(F.col("attribute"), ["transcript_id", "gene_id"]))
+    return g.select("line_no", F.lower("feature").alias("feature"), "strand", "start_pos", "end_pos", F.coalesce("ids.transcript_id", F.lit("")).alias("tid"), F.coalesce("ids.gene_id", F.lit("")).alias("gid"), "attribute")
 
 
 def q_principal_transcripts(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,6 +13,7 @@ from tagloom.functions import sqlfn
 from tagloom.functions.special import required_letters
 from tagloom.operators import annot as A
 from tagloom.operators import reads as R
+from tagloom.operators.packed import first_values
 from tagloom.plans.common import dna, dna_sql
 from tagloom.session import table
 
@@ -137,7 +138,7 @@ def q_tail_bases(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_version_strip(spark: SparkSession, folder: str) -> DataFrame:
     g = table(spark, folder, "gtf").filter("attribute IS NOT NULL")
-    tid = S.quoted_attribute(F.col("attribute"), "transcript_id")
+    tid = first_values(F.col("attribute"), ["transcript_id"])["transcript_id"]
     return g.select("line_no", tid.alias("transcript_id"), S.without_version(tid).alias("bare")).filter("transcript_id != ''")
 
 

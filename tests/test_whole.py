@@ -100,3 +100,19 @@ def test_gff_attributes_of_all_given_lines(spark, data):
     got = [r["gtf"] for r in PA.q_gff_attributes(spark, data).collect()]
     found = sum(bool(re.search(r"(?i)(?<!\w)transcript_id[\s=]", a)) for a in want)
     assert len(got) == len(want) and sum("transcript_id" in x for x in got) == found
+
+
+def test_ids_of_gtf_lines_in_any_form(spark, tmp_path):
+    forms = ['gene_id "g{g}"; transcript_id "t{t}.1";', "gene_id=g{g};transcript_id=t{t}.1", "gene_id  g{g} ; transcript_id   t{t}.1", "transcript_id 't{t}.1' ;GENE_ID = \"g{g}\"", 'note "transcript_id no; x";TRANSCRIPT_ID "t{t}.1"|gene_id "g{g}"']
+    rows = []
+    for t in range(5):
+        for k, (feature, lo, hi) in enumerate([("transcript", 1, 100 + t), ("exon", 1, 10), ("exon", 11, 20), ("exon", 50, 60), ("CDS", 12, 18)]):
+            rows.append((len(rows), feature, lo, hi, "+", forms[(t + k) % 5].format(g=t // 3, t=t)))
+    rows += [(len(rows), "exon", 5, 9, "+", 'gene_id "g0";'), (len(rows) + 1, "exon", 5, 9, "+", None)]
+    spark.createDataFrame(rows, "line_no long, feature string, start_pos long, end_pos long, strand string, attribute string").write.parquet(f"{tmp_path}/gtf.parquet")
+    run = lambda q: sorted(tuple(r) for r in q(spark, str(tmp_path)).collect())
+    assert run(PA.q_exonic_length) == [(f"t{t}.1", 31) for t in range(5)]
+    assert run(lambda *a: PA.q_coalesce_exons(*a).select("tid", "start_pos", "end_pos", "exon_number")) == [x for t in range(5) for x in ((f"t{t}.1", 1, 20, 1), (f"t{t}.1", 50, 60, 2))]
+    assert run(PA.q_utr_classify) == [x for t in range(5) for x in ((5 * t + 1, "five_prime_utr"), (5 * t + 2, None), (5 * t + 3, "three_prime_utr"))]
+    assert sorted(r["gid"] for r in PA.q_principal_transcripts(spark, str(tmp_path)).collect()) == ["g0", "g1"]
+    assert run(PR.q_version_strip) == [(i, f"t{i // 5}.1", f"t{i // 5}") for i in range(25)]
