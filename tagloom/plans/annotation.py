@@ -62,7 +62,7 @@ def q_whitelist(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_associate(spark: SparkSession, folder: str) -> DataFrame:
     t = table(spark, folder, "taginfo").select("tile", "cluster", "sample", "polya_len")
-    a = t.filter("cluster % 5 = 0").select("tile", "cluster").distinct().select("tile", "cluster", F.format_string("g%03d", F.pmod("cluster", F.lit(100))).alias("gene"), F.lit(1).alias("ambig"))
+    a = t.select("tile", "cluster").distinct().select("tile", "cluster", F.format_string("g%03d", F.pmod("cluster", F.lit(100))).alias("gene"), F.lit(1).alias("ambig"))
     return J.associate(t, a, ["tile", "cluster"]).groupBy("gene", "sample").agg(F.count("*").alias("n"))
 
 

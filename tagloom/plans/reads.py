@@ -143,7 +143,8 @@ def q_version_strip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_id_format(spark: SparkSession, folder: str) -> DataFrame:
-    t = table(spark, folder, "taginfo").filter("mods IS NOT NULL AND polya_len BETWEEN 5 AND 20")
+    """Names of all reads; an unknown length is -1, unknown modifications are none."""
+    t = table(spark, folder, "taginfo").withColumns({"polya_len": F.coalesce("polya_len", F.lit(-1)), "mods": F.coalesce("mods", F.lit(""))})
     c = F.col
     return t.select("sample", S.read_name(c("tile"), c("cluster")).alias("short_name"), S.verbose_name(c("tile"), c("cluster"), c("pflags"), c("clones"), c("polya_len"), c("mods")).alias("long_name"))
 

@@ -116,3 +116,12 @@ def test_ids_of_gtf_lines_in_any_form(spark, tmp_path):
     assert run(PA.q_utr_classify) == [x for t in range(5) for x in ((5 * t + 1, "five_prime_utr"), (5 * t + 2, None), (5 * t + 3, "three_prime_utr"))]
     assert sorted(r["gid"] for r in PA.q_principal_transcripts(spark, str(tmp_path)).collect()) == ["g0", "g1"]
     assert run(PR.q_version_strip) == [(i, f"t{i // 5}.1", f"t{i // 5}") for i in range(25)]
+
+
+def test_names_and_genes_of_all_reads(spark, tmp_path):
+    rows = [("s", "a1", 7, 9, 20, "TG", 3), ("s", "a1", 8, 128, None, "", 1), ("r", "a2", 10, 0, -1, None, 1), ("r", "a2", 10, 0, 200, "T", 1), ("s", "a2", 107, 0, 3, "C", 2)]
+    spark.createDataFrame(rows, "sample string, tile string, cluster long, pflags int, polya_len int, mods string, clones int").write.parquet(f"{tmp_path}/taginfo.parquet")
+    names = sorted(tuple(r) for r in PR.q_id_format(spark, str(tmp_path)).select("sample", "short_name", "long_name").collect())
+    want = [(s, f"{t}:{c:08d}", f"{t}:{c:08d}:{f:04x}:{n}:{-1 if p is None else p}:{m or ''}") for s, t, c, f, p, m, n in rows]
+    assert names == sorted(want)
+    assert {tuple(r) for r in PA.q_associate(spark, str(tmp_path)).select("gene", "sample", "n").collect()} == {("g007", "s", 2), ("g008", "s", 1), ("g010", "r", 2)}
