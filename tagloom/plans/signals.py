@@ -31,8 +31,9 @@ def _cycles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_color_correction(spark: SparkSession, folder: str) -> DataFrame:
-    c = _cycles(spark, folder).select("vec_id", S.corrected(F.get("cycles", F.lit(0)), INVERSE).alias("s"))
-    return c.select("vec_id", *[F.round(F.get("s", F.lit(k)), 8).alias(f"s{k}") for k in range(4)])
+    """The four channels of every cycle of every signal, corrected."""
+    c = _cycles(spark, folder).select("vec_id", F.posexplode("cycles").alias("cycle_no", "cycle")).select("vec_id", "cycle_no", S.corrected(F.col("cycle"), INVERSE).alias("s"))
+    return c.select("vec_id", "cycle_no", *[F.round(F.get("s", F.lit(k)), 8).alias(f"s{k}") for k in range(4)])
 
 
 def q_entropy_downhill(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,6 +12,7 @@ from tagloom.operators import annot
 from tagloom.plans import annotation as PA
 from tagloom.plans import formats as PF
 from tagloom.plans import reads as PR
+from tagloom.plans import signals as PS
 
 
 def edits(a: str, b: str) -> int:
@@ -125,3 +126,13 @@ def test_names_and_genes_of_all_reads(spark, tmp_path):
     want = [(s, f"{t}:{c:08d}", f"{t}:{c:08d}:{f:04x}:{n}:{-1 if p is None else p}:{m or ''}") for s, t, c, f, p, m, n in rows]
     assert names == sorted(want)
     assert {tuple(r) for r in PA.q_associate(spark, str(tmp_path)).select("gene", "sample", "n").collect()} == {("g007", "s", 2), ("g008", "s", 1), ("g010", "r", 2)}
+
+
+def test_colour_correction_of_all_cycles(spark, tmp_path):
+    rnd = random.Random(8)
+    rows = [(i, [round(rnd.uniform(-0.5, 0.5), 4) for _ in range(64)]) for i in range(6)]
+    spark.createDataFrame([*rows, (9, None)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r["vec_id"], r["cycle_no"]): [r[f"s{k}"] for k in range(4)] for r in PS.q_color_correction(spark, str(tmp_path)).collect()}
+    want = {(i, c): [sum(v[4 * c + k] * PS.INVERSE[4 * r + k] for k in range(4)) for r in range(4)] for i, v in rows for c in range(16)}
+    assert got.keys() == want.keys()
+    assert all(abs(x - y) < 1e-7 for k in want for x, y in zip(got[k], want[k]))
