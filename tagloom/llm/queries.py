@@ -39,11 +39,15 @@ def _tag_bundles() -> list[survivors.Bundle]:
     ]
 
 
+#: A row names one read: bundles from the same row must agree on its name.
+TAG_DEPENDENCIES = [("row_no", "qname")]
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Where each field of each group's survivor comes from."""
+    """Where each field of each group's survivor comes from: the sources of the chosen bundles."""
     order, _ = _tag_rank()
     bundles = _tag_bundles()
-    best = survivors.survivors(table(spark, folder, "tagaln"), "grp", "row_no", bundles, order, least_rows=2)
+    best = survivors.survivors(table(spark, folder, "tagaln"), "grp", "row_no", bundles, order, functional=TAG_DEPENDENCIES, least_rows=2)
     fields = F.array(*[F.struct(F.lit(b.name).alias("field"), F.col(b.name).getField("qname").alias("qname"), F.col(b.name).isNotNull().alias("has")) for b in bundles])
     return best.select("grp", F.explode(fields).alias("f")).filter("f.has").select("grp", "f.field", "f.qname")
 
@@ -56,7 +60,7 @@ def p3_survivors(spark: SparkSession, folder: str) -> DataFrame:
         survivors.Bundle("umi", ("umi",), F.col("umi").rlike("^[ACGT]+$")),
     ]
     best = survivors.survivors(table(spark, folder, "tagaln"), "grp", "row_no", bundles, order, depends=[("lengths", "umi")])
-    return best.select("grp", "n_rows", F.col("lengths.id").alias("lengths_row"), "lengths.polya_len_1", "lengths.polya_len_2", F.col("umi.id").alias("umi_row"), "umi.umi")
+    return best.select("grp", "n_rows", F.col("lengths.id").alias("lengths_row"), "lengths.polya_len_1", "lengths.polya_len_2", F.col("umi.id").alias("umi_row"), "umi.umi", "trust")
 
 
 def _p4_days(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,6 +156,17 @@ SELECT grp, '{field}' AS field, qname FROM (SELECT *, row_number() OVER (PARTITI
 ORACLE: dict[str, str] = {
     "p3_found": f"WITH ranked AS (SELECT *, coalesce(priority, {_SCORE}) AS pri, count(*) OVER (PARTITION BY grp) AS n FROM tagaln)"
     + " UNION ALL ".join(_FIRST.format(field=f, valid=v) for f, v in (("record", "true"), ("polya_len_1", "polya_len_1 >= 0"), ("polya_len_2", "polya_len_2 >= 0"), ("umi", "regexp_full_match(umi, '[ACGT]+')"))),
+    # the joint optimum by plain enumeration of what occurred together, and of either bundle alone
+    "p3_survivors": f"""WITH ranked AS (SELECT *, coalesce(priority, {_SCORE.replace('pflags', 'coalesce(pflags,0)')}) AS pri, polya_len_1 >= 0 AND polya_len_2 >= 0 AS has_l, regexp_full_match(umi, '[ACGT]+') AS has_u FROM tagaln WHERE grp IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY pri DESC NULLS LAST, measured_at DESC NULLS LAST, ndups DESC NULLS LAST, row_no) AS k FROM ranked),
+l AS (SELECT grp, polya_len_1 AS l1, polya_len_2 AS l2, min(k) AS kl, max(coalesce(pri,0)) AS wl, arg_min(row_no, k) AS lengths_row FROM r WHERE has_l GROUP BY ALL),
+u AS (SELECT grp, umi, min(k) AS ku, max(coalesce(pri,0)) AS wu, arg_min(row_no, k) AS umi_row FROM r WHERE has_u GROUP BY ALL),
+p AS (SELECT DISTINCT grp, polya_len_1 AS l1, polya_len_2 AS l2, umi FROM r WHERE has_l AND has_u),
+c AS (SELECT l.grp, kl, ku, wl + wu AS trust, lengths_row, l1, l2, umi_row, umi FROM p JOIN l USING (grp, l1, l2) JOIN u USING (grp, umi)
+  UNION ALL SELECT grp, kl, NULL, wl, lengths_row, l1, l2, NULL, NULL FROM l UNION ALL SELECT grp, NULL, ku, wu, NULL, NULL, NULL, umi_row, umi FROM u UNION ALL SELECT DISTINCT grp, NULL::BIGINT, NULL::BIGINT, 0, NULL, NULL, NULL, NULL, NULL FROM r),
+b AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY trust DESC, kl NULLS LAST, ku NULLS LAST) AS i FROM c),
+n AS (SELECT grp, count(*) AS n_rows FROM r GROUP BY grp)
+SELECT grp, n_rows, lengths_row, l1 AS polya_len_1, l2 AS polya_len_2, umi_row, umi, trust::DOUBLE AS trust FROM b JOIN n USING (grp) WHERE i = 1""",
     "p4_bound_check": """SELECT 'sample_day' AS scope, sample, run_day, count(*) AS n, true AS within FROM taginfo WHERE polya_len >= 0 GROUP BY ALL
 UNION ALL SELECT 'sample', sample, NULL, count(*), true FROM taginfo WHERE polya_len >= 0 GROUP BY ALL""",
 }

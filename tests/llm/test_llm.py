@@ -131,6 +131,67 @@ def test_survivors_by_search(spark):
     assert survivors.survivors(df.limit(0), "grp", "row_no", bundles, order, depends=[("x", "y")]).count() == 0
 
 
+def best_choice(mine, rank, names, allowed):
+    """The best choice of one group by trying all: (trust, then the ranks in order of the bundles)."""
+    import itertools
+
+    lists = []
+    for at in names:
+        by = {}
+        for r in mine:
+            if r[at] is not None and (r[at] not in by or rank(r) > rank(by[r[at]])):
+                by[r[at]] = r
+        lists.append([None, *by.values()])
+    low = (-1,)
+    score = lambda c: (sum(r[2] for r in c if r), [rank(r) if r else low for r in c])
+    return max((c for c in itertools.product(*lists) if allowed(c)), key=score)
+
+
+@pytest.mark.parametrize("block", [1, 2, 32])
+def test_search_of_three_bundles(spark, block):
+    """Blocks that are too small at first must not change the choice."""
+    rnd = random.Random(4)
+    rows = [(i, i % 4, rnd.randint(0, 3), rnd.choice([None, *range(9)]), rnd.choice([None, *range(9)]), rnd.choice([None, *range(9)])) for i in range(120)]
+    df = spark.createDataFrame(rows, "row_no long, grp int, p int, x int, y int, z int")
+    bundles = [survivors.Bundle(c, (c,), F.col(c).isNotNull()) for c in "xyz"]
+    order = [F.col("p"), -F.col("row_no")]
+    got = {r["grp"]: r for r in survivors.survivors(df, "grp", "row_no", bundles, order, depends=[("x", "y"), ("y", "z")], block=block).collect()}
+    rank = lambda r: (r[2], -r[0])
+    branched = 0
+    for g in range(4):
+        mine = [r for r in rows if r[1] == g]
+        xy, yz = {(r[3], r[4]) for r in mine}, {(r[4], r[5]) for r in mine}
+        want = best_choice(mine, rank, (3, 4, 5), lambda c: not (c[0] and c[1] and (c[0][3], c[1][4]) not in xy) and not (c[1] and c[2] and (c[1][4], c[2][5]) not in yz))  # noqa: B023
+        assert [got[g][n] and got[g][n]["id"] for n in "xyz"] == [w and w[0] for w in want]
+        assert got[g]["trust"] == sum(w[2] for w in want if w) <= got[g]["bound"]
+        branched += got[g]["nodes"] > 3
+    assert branched
+
+
+def test_functional_dependency_makes_p3_branch(spark, tmp_path):
+    """A row id that names two reads: its bundles may not be combined; groups without that are closed at the root."""
+    at = datetime(2023, 1, 1)
+    rows = [
+        # grp 1: the best record and the best length have the same row id and different names
+        (7, 1, "a", 0, 90, 3, None, None, "ACGT", at), (7, 1, "b", 0, 80, 3, 20, 9, None, at), (9, 1, "c", 0, 10, 3, 21, None, "AC", at),
+        (3, 2, "d", 0, 50, 1, 5, None, "", at), (4, 2, "e", None, None, 1, None, 6, "GG", None), (5, 3, "f", 0, 1, 1, 1, 1, "A", at),
+    ]
+    spark.createDataFrame(rows, "row_no long, grp long, qname string, pflags int, priority int, ndups int, polya_len_1 int, polya_len_2 int, umi string, measured_at timestamp").write.parquet(f"{tmp_path}/tagaln.parquet")
+    got = {(r["grp"], r["field"]): r["qname"] for r in queries.p3_found(spark, str(tmp_path)).collect()}
+    # 90 + 80 + 80 + 90 is forbidden; b's record (80) with b's lengths and the other umi is best
+    assert got == {(1, "record"): "b", (1, "polya_len_1"): "b", (1, "polya_len_2"): "b", (1, "umi"): "c", (2, "record"): "e", (2, "polya_len_1"): "d", (2, "polya_len_2"): "e", (2, "umi"): "e"}
+    order, _ = queries._tag_rank()
+    proof = {r["grp"]: r for r in survivors.survivors(table(spark, str(tmp_path), "tagaln"), "grp", "row_no", queries._tag_bundles(), order, functional=queries.TAG_DEPENDENCIES).collect()}
+    assert proof[1]["nodes"] > 4 and proof[1]["trust"] < proof[1]["bound"]
+    assert proof[2]["nodes"] == 4 and proof[2]["trust"] == proof[2]["bound"]
+
+
+def test_every_group_of_p3_is_proven_best(spark, data):
+    order, _ = queries._tag_rank()
+    got = survivors.survivors(table(spark, data, "tagaln"), "grp", "row_no", queries._tag_bundles(), order, functional=queries.TAG_DEPENDENCIES, least_rows=2)
+    assert got.filter("trust < bound OR nodes < 4").count() == 0 < got.count()
+
+
 # ---- p4
 
 
