@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +26,48 @@ def local_session(cpus: str = "*", app: str = "tagloom", driver_memory: str = "8
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``; only where that setting is
-    absent (tests, notebooks) a temporary folder of this machine is used.
+    Only where that setting is absent on a single machine (tests, notebooks) a temporary
+    folder is used; a cluster without it is an error, as its machines share no such folder.
     """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = tempfile.mkdtemp(prefix="tagloom-")
+    return _FOLDERS[app]
+
+
+_FOLDERS: dict[str, str] = {}
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other call has."""
+    return f"{shared_folder(spark)}/tagloom-{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tagloom-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As ``durable``, as a table in the shared folder: unlike a checkpoint its size is
+    known to the planner, which then broadcasts it, or doesn't, by that."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the parquet tables of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
