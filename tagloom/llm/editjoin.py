@@ -2,50 +2,56 @@
 
 A record is a short string (or two: the second is the first with its two segments
 exchanged) at a place. Two records are linked if their places are at most ``reach``
-apart and the strings at most ``edits`` (2) edits apart. As a set, a record is the set
-of its letters at their positions, and two strings within two edits keep a subset of
-at least n - 2 letters in common, n being the longer one's length.
-
-* Small sets: all subsets of the fixed sizes n, n - 1 and n - 2 are enumerated (at most
-  n * (n - 1) / 2 + n + 1 of them); two small sets are candidates if they share one of
-  size (longer length - 2).
-* Large sets: each is cut into three parts of which, with two edits, one survives; it
-  scans the inverted lists of the parts of all sets of its own length or up to two
-  letters shorter, large or small.
-
-The boundary between small and large is chosen by cost, for each stretch of places: the
-lists' lengths are known before they are scanned, so the cost of scanning every size
-class and that of enumerating it are compared exactly and the cheapest boundary taken.
-Quiet places end up scanning a handful of short lists, crowded ones enumerating.
-Candidates of either kind are verified by a banded edit distance.
-
-Distribution: rows are shuffled once by stretch of places, the last ``reach`` places of
-a stretch also to the next. A stretch of more than ``heavy_rows`` rows never goes to
-one task: its distinct strings are enumerated where they lie and joined by subset in
-the cluster, so that each key holds a bounded number of distinct strings.
+apart and the strings at most ``edits`` (2) edits apart.
+
+As a set, a string is its pieces. Two edits touch at most two pieces, so what is left is
+shared, at places that are shifted by as much as the edits allow:
+
+* Small sets: cut into four pieces, of which two survive. All subsets of the fixed size
+  two are enumerated (six), and two small sets are candidates if they share a subset.
+* Large sets: cut into three pieces, of which one survives. Each scans the inverted
+  lists of the pieces of all sets of its own length or up to two letters shorter, large
+  or small.
+
+The boundary between small and large is a length, chosen by cost: scanning has few
+probes, but long lists of candidates to check; subsets have more probes and lists that
+are shorter by far. In a task the lists' lengths are known before they are scanned, and
+each stretch of places gets the cheapest boundary: quiet places scan, crowded ones
+enumerate. Candidates of either kind are verified by a banded edit distance.
+
+Copies (the same string at the same position) are one class from the start; links are
+found between classes, and rows are paired only at the last step, if at all.
+
+Distribution: classes are shuffled once by stretch of places, the last ``reach`` places
+of a stretch also to the next. A stretch of more than ``heavy`` classes never goes to
+one task: its keys, whole numbers made in Arrow batches, are joined in the cluster, with
+a boundary from the same costs and one aggregate of the lists' lengths.
 """
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Iterator
+import functools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.session import keyed
+from tagloom.session import keyed, stored
 
 EDITS = 2
 STRETCH = 256
-HEAVY_ROWS = 80_000
+#: Classes of a stretch that one task takes at most; more are joined in the cluster.
+HEAVY = 80_000
 CHUNK_ROWS = 40_000
-#: Keys held at once while subsets are enumerated, and candidates held before they are verified.
-KEYS_AT_ONCE = 4_000_000
+#: Probes looked up at once, and candidates held before they are verified.
+PROBES_AT_ONCE = 4_000_000
 CANDIDATES_AT_ONCE = 1_000_000
-#: Subsets of a heavy stretch are enumerated for strings up to this length; longer ones scan part lists.
-ENUMERATED = 40
+#: Measured costs, in units of a probe: an entry of an index, and a candidate that is checked.
+LISTED, CHECKED = 1.3, 4.0
+#: Candidates that subsets leave of those of the lists: two quarters instead of a third, by four times the probes.
+LEFT = 1 / 16
 _R = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -78,30 +84,21 @@ class _Class:
         with np.errstate(over="ignore"):
             return self.prefix[:, start + size] - self.prefix[:, start] * power[size]
 
-    def without(self, drop: tuple[int, ...], power: np.ndarray) -> np.ndarray:
-        """Hash of the strings without the letters at ``drop``."""
-        h, start = np.zeros(len(self.at), dtype=np.uint64), 0
-        with np.errstate(over="ignore"):
-            for end in (*drop, self.length):
-                h = h * power[end - start] + self.part(start, end - start, power)
-                start = end + 1
-        return h
-
 
-def parts_of(length: int) -> list[tuple[int, int]]:
-    """(start, size) of the three parts of a string; sizes differ by one at most."""
-    small, extra = divmod(length, EDITS + 1)
+def parts_of(length: int, count: int = EDITS + 1) -> list[tuple[int, int]]:
+    """(start, size) of the pieces of a string; sizes differ by one at most."""
+    small, extra = divmod(length, count)
     out, start = [], 0
-    for i in range(EDITS + 1):
-        size = small + (i >= EDITS + 1 - extra)
+    for i in range(count):
+        size = small + (i >= count - extra)
         out.append((start, size))
         start += size
     return out
 
 
 def starts_in(longer: int, shorter: int, i: int) -> range:
-    """Where part i of a string of length ``shorter`` can start in one of length
-    ``longer``, if that part is the one whose left and right sides have few edits."""
+    """Where piece i of a string of length ``shorter`` can start in one of length
+    ``longer``, if that piece is the one whose left and right sides have few edits."""
     start, size = parts_of(shorter)[i]
     more = longer - shorter
     lo = max(start - i, start + more - (EDITS - i), 0)
@@ -109,14 +106,68 @@ def starts_in(longer: int, shorter: int, i: int) -> range:
     return range(lo, hi + 1)
 
 
-def drops(length: int, count: int) -> Iterator[tuple[int, ...]]:
-    """All ways to leave out ``count`` letters."""
-    if count == 0:
-        yield ()
-    elif count == 1:
-        yield from ((i,) for i in range(length))
-    else:
-        yield from ((i, j) for i in range(length) for j in range(i + 1, length))
+QUARTERS = EDITS + 2
+SUBSETS = [(i, j) for i in range(QUARTERS) for j in range(i + 1, QUARTERS)]
+
+
+@functools.cache
+def subset_starts(longer: int, shorter: int, i: int, j: int) -> list[tuple[int, int]]:
+    """Where quarters i and j of a string of length ``shorter`` can start in one of length
+    ``longer`` if they are its first two that no edit touches: every quarter before or
+    between them takes an edit, and so does every letter of shift."""
+    quarters, more = parts_of(shorter, QUARTERS), longer - shorter
+    out = []
+    for a in range(-EDITS, EDITS + 1):
+        for b in range(-EDITS, EDITS + 1):
+            if max(i, abs(a)) + max(j - i - 1, abs(b - a)) + abs(more - b) <= EDITS:
+                x, y = quarters[i][0] + a, quarters[j][0] + b
+                if x >= 0 and x + quarters[i][1] <= y and y + quarters[j][1] <= longer:
+                    out.append((x, y))
+    return out
+
+
+def _tag(*x: int) -> np.uint64:
+    return _mix(np.uint64(hash(x) & 0xFFFFFFFFFFFFFFFF))
+
+
+def listed_parts(c: _Class, power: np.ndarray) -> Iterator[np.ndarray]:
+    """Keys of a class's inverted lists."""
+    for i, (start, size) in enumerate(parts_of(c.length)):
+        yield _mix(c.part(start, size, power) ^ _tag(c.length, i))
+
+
+def listed_subsets(c: _Class, power: np.ndarray) -> Iterator[np.ndarray]:
+    """Keys of a class's enumerated subsets."""
+    q = parts_of(c.length, QUARTERS)
+    for i, j in SUBSETS:
+        yield _mix(_mix(c.part(*q[i], power) ^ _tag(c.length, i, j)) + c.part(*q[j], power))
+
+
+def probed_parts(c: _Class, power: np.ndarray, lengths: Iterable[int]) -> Iterator[np.ndarray]:
+    """Keys of the lists, of strings of ``lengths``, that a class scans."""
+    for shorter in range(max(c.length - EDITS, 1), c.length + 1):
+        if shorter in lengths:
+            for i, (_, size) in enumerate(parts_of(shorter)):
+                for s in starts_in(c.length, shorter, i):
+                    yield _mix(c.part(s, size, power) ^ _tag(shorter, i))
+
+
+def probed_subsets(c: _Class, power: np.ndarray, lengths: Iterable[int]) -> Iterator[np.ndarray]:
+    """Keys of the subsets, of strings of ``lengths``, that a class can share."""
+    for shorter in range(max(c.length - EDITS, 1), c.length + 1):
+        if shorter in lengths:
+            q = parts_of(shorter, QUARTERS)
+            for i, j in SUBSETS:
+                for x, y in subset_starts(c.length, shorter, i, j):
+                    yield _mix(_mix(c.part(x, q[i][1], power) ^ _tag(shorter, i, j)) + c.part(y, q[j][1], power))
+
+
+def costs(length: int, lengths: Iterable[int], hits: np.ndarray | float) -> tuple[np.ndarray | float, np.ndarray | float]:
+    """Cost of scanning and of enumerating strings of a length that find ``hits`` candidates in the lists."""
+    met = [m for m in range(max(length - EDITS, 1), length + 1) if m in lengths]
+    scans = sum(len(starts_in(length, m, i)) for m in met for i in range(EDITS + 1))
+    subsets = sum(len(subset_starts(length, m, i, j)) for m in met for i, j in SUBSETS)
+    return LISTED * (EDITS + 1) + scans + CHECKED * hits, LISTED * len(SUBSETS) + subsets + CHECKED * LEFT * hits
 
 
 def within_two(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -150,26 +201,81 @@ class _Lists:
     def __init__(self, keys: list[np.ndarray], at: list[np.ndarray]) -> None:
         key = np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
         own = np.concatenate(at) if at else np.zeros(0, dtype=np.int64)
-        order = np.argsort(key, kind="stable")
-        self.key, self.at = key[order], own[order]
-
-    def ranges(self, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.searchsorted(self.key, probe, "left"), np.searchsorted(self.key, probe, "right")
-
-    def pairs(self, probe: np.ndarray, at: np.ndarray, size: int = 4_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        lo, hi = self.ranges(probe)
-        n = hi - lo
-        hit = np.flatnonzero(n)
-        lo, n, at = lo[hit], n[hit], at[hit]
-        ends = np.cumsum(n)
-        start = 0
-        while start < len(n):
-            before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
-            part = n[start:stop]
+        order = np.argsort(key)
+        key, self.at = key[order], own[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), dtype=bool), key[1:] != key[:-1])))
+        # a last key that nothing equals spares a test of bounds
+        self.key = np.concatenate((key[first], np.zeros(1, dtype=np.uint64)))
+        self.start = np.append(first, len(key))
+        self.known = len(first)
+
+    def hits(self, probe: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(at, start, count) of the probes that meet a list; probes are looked up in order, which caches like."""
+        order = np.argsort(probe)
+        probe, at = probe[order], at[order]
+        i = np.searchsorted(self.key[: self.known], probe)
+        hit = np.flatnonzero((self.key[i] == probe) & (i < self.known))
+        i = i[hit]
+        return at[hit], self.start[i], self.start[i + 1] - self.start[i]
+
+    def pairs(self, at: np.ndarray, start: np.ndarray, count: np.ndarray, size: int = 4_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ends = np.cumsum(count)
+        first = 0
+        while first < len(count):
+            before = ends[first - 1] if first else 0
+            stop = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
+            part = count[first:stop]
             within = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
-            yield np.repeat(at[start:stop], part), self.at[np.repeat(lo[start:stop], part) + within]
-            start = stop
+            yield np.repeat(at[first:stop], part), self.at[np.repeat(start[first:stop], part) + within]
+            first = stop
+
+
+class _Places:
+    """Buckets of positions: each string is listed in its own and looked up there and, near a border, next door."""
+
+    def __init__(self, area: np.ndarray, pos: np.ndarray, reach: int) -> None:
+        width = 4 * (reach + 1)
+        bucket, inside = np.floor_divide(pos, width), np.mod(pos, width)
+        with np.errstate(over="ignore"):
+            at = lambda d: _mix((area.astype(np.uint64) * _R) ^ _mix((bucket + d).astype(np.uint64) + np.uint64(1)))
+            self.home = at(0)
+            self.near = [(self.home, None), (at(-1), inside < reach), (at(1), inside >= width - reach)]
+
+    def spread(self, keys: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Probes of keys of the strings ``at``."""
+        for place, wanted in self.near:
+            if wanted is None:
+                yield place[at] ^ keys, at
+            else:
+                pick = np.flatnonzero(wanted[at])
+                if len(pick):
+                    yield place[at[pick]] ^ keys[pick], at[pick]
+
+
+def _classes(strings: list[str]) -> tuple[dict[int, _Class], np.ndarray]:
+    length = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+    out: dict[int, _Class] = {}
+    for n in np.unique(length):
+        at = np.flatnonzero(length == n)
+        letters = np.frombuffer("".join([strings[i] for i in at]).encode("utf-32-le"), dtype=np.uint32).reshape(len(at), n)
+        out[int(n)] = _Class(int(n), at, letters)
+    return out, length
+
+
+def _looked_up(lists: _Lists, probes: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hits of probes, many at a time."""
+    keys: list[np.ndarray] = []
+    own: list[np.ndarray] = []
+    held = 0
+    for k, at in probes:
+        keys.append(k)
+        own.append(at)
+        held += len(k)
+        if held >= PROBES_AT_ONCE:
+            yield lists.hits(np.concatenate(keys), np.concatenate(own))
+            keys, own, held = [], [], 0
+    if held:
+        yield lists.hits(np.concatenate(keys), np.concatenate(own))
 
 
 def link_pairs(strings: list[str], flipped: np.ndarray, row: np.ndarray, stretch: np.ndarray, pos: np.ndarray, reach: int, stats: dict | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -180,70 +286,47 @@ def link_pairs(strings: list[str], flipped: np.ndarray, row: np.ndarray, stretch
     """
     if not strings:
         return
-    length = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+    classes, length = _classes(strings)
     power = _powers(int(length.max()))
-    classes: dict[int, _Class] = {}
-    for n in np.unique(length):
-        at = np.flatnonzero(length == n)
-        letters = np.frombuffer("".join([strings[i] for i in at]).encode("utf-32-le"), dtype=np.uint32).reshape(len(at), n)
-        classes[int(n)] = _Class(int(n), at, letters)
-    width = reach + 1
-    bucket = np.floor_divide(pos, width)
-    with np.errstate(over="ignore"):
-        home = _mix((stretch.astype(np.uint64) * _R) ^ _mix(bucket.astype(np.uint64) + np.uint64(1)))
-        nearby = [_mix((stretch.astype(np.uint64) * _R) ^ _mix((bucket + d).astype(np.uint64) + np.uint64(1))) for d in (-1, 0, 1)]
-    tag = lambda *x: _mix(np.uint64(hash(x) & 0xFFFFFFFFFFFFFFFF))
+    places = _Places(stretch, pos, reach)
 
-    # inverted lists of the parts of all strings; strings too short to be cut have one empty part
     keys, own = [], []
-    for n, c in classes.items():
-        for i, (start, size) in enumerate(parts_of(n)):
-            keys.append(home[c.at] ^ _mix(c.part(start, size, power) ^ tag(n, i)))
+    for c in classes.values():
+        for h in listed_parts(c, power):
+            keys.append(places.home[c.at] ^ h)
             own.append(c.at)
     lists = _Lists(keys, own)
-
-    def scans(only: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for n, c in classes.items():
-            pick = np.arange(len(c.at)) if only is None else np.flatnonzero(only[c.at])
-            if not len(pick):
-                continue
-            for shorter in range(max(n - EDITS, 1), n + 1):
-                if shorter not in classes:
-                    continue
-                for i, (_, size) in enumerate(parts_of(shorter)):
-                    for s in starts_in(n, shorter, i):
-                        h = _mix(c.part(s, size, power)[pick] ^ tag(shorter, i))
-                        for near in nearby:
-                            yield near[c.at[pick]] ^ h, c.at[pick]
-
-    # exact cost of scanning each string's lists, against that of enumerating its subsets
-    scan_cost = np.zeros(len(strings))
-    for probe, at in scans(None):
-        lo, hi = lists.ranges(probe)
-        np.add.at(scan_cost, at, 1.0 + (hi - lo))
-    subsets = length * (length - 1) / 2
-    enum_cost = 1.0 + length + subsets + 3 * subsets
+    probes = (x for c in classes.values() for h in probed_parts(c, power, classes) for x in places.spread(h, c.at))
+    scans = list(_looked_up(lists, probes))
+
+    # the lists' lengths are known: what does each boundary cost in each stretch?
+    found = np.zeros(len(strings))
+    for at, _, count in scans:
+        found += np.bincount(at, count, len(strings))
+    scan_cost, enum_cost = np.zeros(len(strings)), np.zeros(len(strings))
+    for n, c in classes.items():
+        # each string meets itself once in each of its own lists; that isn't checked
+        scan_cost[c.at], enum_cost[c.at] = costs(n, classes, np.maximum(found[c.at] - EDITS - 1, 0))
     large = np.ones(len(strings), dtype=bool)
     codes, group = np.unique(stretch, return_inverse=True)
-    gain = np.zeros(len(codes))
-    np.add.at(gain, group, np.maximum(scan_cost - enum_cost, 0))
+    gain = np.bincount(group, np.maximum(scan_cost - enum_cost, 0), len(codes))
     for g in np.flatnonzero(gain > 0):
         at = np.flatnonzero(group == g)
         sizes = np.unique(length[at])
-        # cost of the boundary "sizes below sizes[k] are small", for k = 0 .. all
         by = np.searchsorted(sizes, length[at])
-        enum, scan = np.bincount(by, enum_cost[at], len(sizes)), np.bincount(by, scan_cost[at], len(sizes))
-        cost = np.concatenate(([0], np.cumsum(enum))) + np.concatenate((np.cumsum(scan[::-1])[::-1], [0]))
-        k = int(np.argmin(cost))
+        k = cheapest(np.bincount(by, scan_cost[at], len(sizes)), np.bincount(by, enum_cost[at], len(sizes)))
         large[at] = by >= k
     if stats is not None:
-        stats["large"], stats["small"] = int(large.sum()), int((~large).sum())
+        stats["large"], stats["small"] = stats.get("large", 0) + int(large.sum()), stats.get("small", 0) + int((~large).sum())
 
     seen: list[np.ndarray] = []
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
     total = int(row.max()) + 1
 
     def verify() -> None:
+        nonlocal held
+        held = 0
         if not waiting:
             return
         a, b = (np.concatenate(x) for x in zip(*waiting))
@@ -263,45 +346,43 @@ def link_pairs(strings: list[str], flipped: np.ndarray, row: np.ndarray, stretch
                 seen.append(rows[part[good]])
 
     def candidates(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> None:
+        nonlocal held
         for a, b in pairs:
-            ok = (row[a] != row[b]) & (np.abs(pos[a] - pos[b]) <= reach) & ~(flipped[a] & flipped[b]) & (stretch[a] == stretch[b])
-            if ok.any():
+            ok = np.flatnonzero((row[a] != row[b]) & (np.abs(pos[a] - pos[b]) <= reach) & ~(flipped[a] & flipped[b]) & (stretch[a] == stretch[b]))
+            if len(ok):
                 waiting.append((a[ok], b[ok]))
-            if sum(len(x) for x, _ in waiting) > CANDIDATES_AT_ONCE:
+                held += len(ok)
+            if held > CANDIDATES_AT_ONCE:
                 verify()
 
-    for probe, at in scans(large):
-        candidates(lists.pairs(probe, at))
-    verify()
+    for at, start, count in scans:
+        keep = np.flatnonzero(large[at])
+        candidates(lists.pairs(at[keep], start[keep], count[keep]))
+    del scans
     if not large.all():
-        small = ~large
-        slices = max(1, int(enum_cost[small].sum()) // KEYS_AT_ONCE)
-        for part in range(slices):
-            mine = lambda key: key % np.uint64(slices) == part  # noqa: B023, E731
-            keys, own, probes = [], [], []
-            for n, c in classes.items():
-                pick = np.flatnonzero(small[c.at])
-                if not len(pick):
-                    continue
-                at = c.at[pick]
-                for count in range(min(EDITS, n) + 1):
-                    for drop in drops(n, count):
-                        h = _mix(c.without(drop, power)[pick] ^ tag("subset", n - count))
-                        keep = mine(h)
-                        keys.append(home[at[keep]] ^ h[keep])
-                        own.append(at[keep])
-                        if count == min(EDITS, n):
-                            probes.append((h[keep], at[keep]))
-            index = _Lists(keys, own)
-            for h, at in probes:
-                for near in nearby:
-                    candidates(index.pairs(near[at] ^ h, at))
-            verify()
+        small = {n: np.flatnonzero(~large[c.at]) for n, c in classes.items()}
+        keys, own = [], []
+        for n, c in classes.items():
+            if len(small[n]):
+                for h in listed_subsets(c, power):
+                    keys.append(places.home[c.at[small[n]]] ^ h[small[n]])
+                    own.append(c.at[small[n]])
+        lists = _Lists(keys, own)
+        probes = (x for n, c in classes.items() if len(small[n]) for h in probed_subsets(c, power, classes) for x in places.spread(h[small[n]], c.at[small[n]]))
+        for hit in _looked_up(lists, probes):
+            candidates(lists.pairs(*hit))
+    verify()
     if seen:
         code = np.unique(np.concatenate(seen))
         yield code // total, code % total
 
 
+def cheapest(scan: np.ndarray, enum: np.ndarray) -> int:
+    """How many of the sizes, from the least on, are small in the cheapest split; costs are given per size."""
+    total = np.concatenate(([0], np.cumsum(enum))) + np.concatenate((np.cumsum(scan[::-1])[::-1], [0]))
+    return int(np.argmin(total))
+
+
 def forms(text: Column) -> tuple[Column, Column]:
     """The letters of a field in upper case, and the same with the two segments around
     its (first) separator exchanged; the latter is null where there is no separator."""
@@ -312,95 +393,90 @@ def forms(text: Column) -> tuple[Column, Column]:
     return F.when(plain != "", plain), F.when(head != "", F.concat(letters(tail), F.upper(head)))
 
 
-def edit_links(df: DataFrame, row_id: str, place: str, pos: str, text: str, reach: int = 4, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Linked pairs: id_a < id_b. Every pair comes out once.
+def _rows(df: DataFrame, row_id: str, place: str, pos: str, text: str) -> DataFrame:
+    plain, turned = forms(F.col(f"`{text}`"))
+    rows = df.select(F.col(f"`{row_id}`").cast("bigint").alias("id"), F.col(f"`{place}`").cast("string").alias("place"), F.col(f"`{pos}`").cast("bigint").alias("pos"), plain.alias("s0"), turned.alias("s1"))
+    rows = rows.filter("id IS NOT NULL AND place IS NOT NULL AND pos IS NOT NULL AND s0 IS NOT NULL")
+    return rows.withColumn("s1", F.coalesce("s1", "s0"))
+
+
+def edit_classes(df: DataFrame, row_id: str, place: str, pos: str, text: str, reach: int = 4, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
+    """Classes of copies and the links between them.
 
-    Rows with a null id, place, position or text, or a text without letters, are in no
-    pair. Equal strings are linked like any others; repeated ids count as rows of
-    their own but give no pair with themselves. No bucket is capped.
+    The first frame has (class_id, n_rows, place, pos, s0, s1): a row for every different
+    string at a position, named by the least id of its rows; s1 is the string with its
+    segments exchanged (s0 where it has one segment only). The second has (class_a,
+    class_b), each linked pair of classes once, class_a < class_b. Rows with a null id,
+    place, position or text, or a text without letters, are in no class. No bucket is
+    capped; an empty table gives empty frames.
     """
-    plain, turned = forms(F.col(f"`{text}`"))
-    rows = (
-        df.select(F.col(f"`{row_id}`").cast("bigint").alias("id"), F.col(f"`{place}`").cast("string").alias("place"), F.col(f"`{pos}`").cast("bigint").alias("pos"), plain.alias("s0"), turned.alias("s1"))
-        .filter("id IS NOT NULL AND place IS NOT NULL AND pos IS NOT NULL AND s0 IS NOT NULL")
-        .withColumn("stretch", F.floor(F.col("pos") / STRETCH))
-    )
-    halo = F.when(F.pmod("pos", F.lit(STRETCH)) >= STRETCH - reach, F.array("stretch", F.col("stretch") + 1)).otherwise(F.array("stretch"))
-    spread = rows.withColumn("home", F.col("stretch")).withColumn("stretch", F.explode(halo))
-    heavy = spread.groupBy("place", "stretch").count().filter(F.col("count") > heavy_rows).select("place", "stretch")
-    marks = heavy.collect()  # at most rows / heavy_rows of them
-    light = _light_links(_without(spread, marks), reach)
-    return light if not marks else light.unionByName(_heavy_links(_only(spread, marks), reach)).distinct()
-
-
-def _mark(marks: list) -> Column:
-    keys = [F.concat_ws("\x01", F.lit(m["place"]), F.lit(str(m["stretch"]))) for m in marks]
-    return F.concat_ws("\x01", "place", F.col("stretch").cast("string")).isin(*keys) if keys else F.lit(False)
-
-
-def _without(spread: DataFrame, marks: list) -> DataFrame:
-    return spread.filter(~_mark(marks)) if marks else spread
-
-
-def _only(spread: DataFrame, marks: list) -> DataFrame:
-    return spread.filter(_mark(marks))
-
-
-def _expanded(g1: np.ndarray, g2: np.ndarray, start: np.ndarray, count: np.ndarray, most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of the members of linked groups, pair by pair, in bounded pieces; within a
-    group (g1 = g2) each pair of members once."""
-    sizes = count[g1] * count[g2]
-    ends = np.cumsum(sizes)
-    at = 0
-    while at < len(g1):
-        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
-        if sizes[at] > most:
-            for x in range(int(count[g1[at]])):
-                first = x + 1 if g1[at] == g2[at] else 0
-                for y in range(first, int(count[g2[at]]), most):
-                    ys = np.arange(y, min(int(count[g2[at]]), y + most))
-                    yield np.full(len(ys), start[g1[at]] + x), start[g2[at]] + ys
-            at += 1
-            continue
-        n, a, b = sizes[at:stop], g1[at:stop], g2[at:stop]
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        width = np.repeat(count[b], n)
-        x, y = within // width, within % width
-        keep = (np.repeat(a, n) != np.repeat(b, n)) | (x < y)
-        yield (np.repeat(start[a], n) + x)[keep], (np.repeat(start[b], n) + y)[keep]
-        at = stop
+    rows = _rows(df, row_id, place, pos, text)
+    classes = rows.groupBy("place", "pos", "s0", "s1").agg(F.min("id").alias("class_id"), F.count("*").alias("n_rows"))
+    classes = stored(classes.select("class_id", "n_rows", "place", "pos", "s0", "s1"))
+    at = classes.drop("n_rows").withColumn("home", F.floor(F.col("pos") / STRETCH))
+    halo = F.when(F.pmod("pos", F.lit(STRETCH)) >= STRETCH - reach, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))
+    spread = at.withColumn("stretch", F.explode(halo))
+    # crowded stretches are a table, however many there are; the planner sees its size
+    crowded = stored(spread.groupBy("place", "stretch").count().filter(F.col("count") > heavy).select("place", "stretch"))
+    if crowded.isEmpty():
+        return classes, _light_links(spread, reach)
+    light = _light_links(spread.join(crowded, ["place", "stretch"], "left_anti"), reach)
+    # a pair belongs to one stretch, so none is in both
+    return classes, light.unionByName(_heavy_links(spread.join(crowded, ["place", "stretch"], "left_semi"), reach))
+
+
+def edit_links(df: DataFrame, row_id: str, place: str, pos: str, text: str, reach: int = 4, heavy: int = HEAVY) -> DataFrame:
+    """Linked pairs of rows: id_a < id_b.
+
+    Which rows take part is said at :func:`edit_classes`. Copies are linked like any
+    others; repeated ids count as rows of their own but give no pair with themselves.
+    """
+    classes, links = edit_classes(df, row_id, place, pos, text, reach, heavy)
+    copies = edit_members(df, row_id, place, pos, text, classes.filter("n_rows > 1"))
+    one, two = copies.select(F.col("class_id").alias("ka"), F.col("id").alias("a")), copies.select(F.col("class_id").alias("kb"), F.col("id").alias("b"))
+    between = links.join(one, F.col("class_a") == F.col("ka"), "left").join(two, F.col("class_b") == F.col("kb"), "left")
+    between = between.select(F.coalesce("a", "class_a").alias("a"), F.coalesce("b", "class_b").alias("b"))
+    within = one.join(two, F.col("ka") == F.col("kb")).filter("a < b").select("a", "b")
+    return between.unionByName(within).filter("a != b").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+
+
+def edit_members(df: DataFrame, row_id: str, place: str, pos: str, text: str, classes: DataFrame) -> DataFrame:
+    """(id, class_id) of the rows of the given classes."""
+    key = ["place", "pos", "s0", "s1"]
+    return _rows(df, row_id, place, pos, text).join(classes.select(*key, "class_id"), key).select("id", "class_id")
+
+
+def edit_degrees(df: DataFrame, row_id: str, place: str, pos: str, text: str, reach: int = 4, heavy: int = HEAVY) -> DataFrame:
+    """A row per row of the input that is in a class: (id, class_id, n_links), the number of rows it is linked to.
+
+    The result is as large as the input, however many copies there are.
+    """
+    classes, links = edit_classes(df, row_id, place, pos, text, reach, heavy)
+    both = links.unionByName(links.select(F.col("class_b").alias("class_a"), F.col("class_a").alias("class_b")))
+    sizes = classes.select(F.col("class_id").alias("other"), F.col("n_rows").alias("n_other"))
+    n = both.join(sizes, F.col("class_b") == F.col("other")).groupBy(F.col("class_a").alias("k")).agg(F.sum("n_other").alias("n"))
+    counted = classes.join(n, F.col("class_id") == F.col("k"), "left").select("class_id", "place", "pos", "s0", "s1", (F.col("n_rows") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    key = ["place", "pos", "s0", "s1"]
+    return _rows(df, row_id, place, pos, text).join(counted, key).select("id", "class_id", "n_links")
 
 
 def _light_links(spread: DataFrame, reach: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
             t = pa.concat_tables(held)
-            ids, pos, home = (t.column(c).to_numpy() for c in ("id", "pos", "home"))
-            stretch = t.column("stretch").to_numpy()
+            ids, pos, home, stretch = (t.column(c).to_numpy() for c in ("class_id", "pos", "home", "stretch"))
             s0, s1 = t.column("s0").to_pylist(), t.column("s1").to_pylist()
-            place = np.unique(np.asarray(t.column("place").combine_chunks().dictionary_encode().indices), return_inverse=True)[1]
+            place = np.asarray(t.column("place").combine_chunks().dictionary_encode().indices)
             code = np.unique(np.stack([place, stretch]), axis=1, return_inverse=True)[1].reshape(-1)
-            # copies are linked once, as one representative, and written out at the end
-            group: dict[tuple, int] = {}
-            of = np.fromiter((group.setdefault(k, len(group)) for k in zip(code.tolist(), pos.tolist(), s0, s1)), dtype=np.int64, count=len(ids))
-            count = np.bincount(of)
-            members = np.argsort(of, kind="stable")
-            start = np.cumsum(count) - count
-            rep = members[start]
-            turned = [g for g, i in enumerate(rep) if s1[i] is not None and s1[i] != s0[i]]
-            row = np.concatenate([np.arange(len(rep)), np.array(turned, dtype=np.int64)])
-            flipped = np.arange(len(row)) >= len(rep)
-            texts = [*(s0[i] for i in rep), *(s1[rep[g]] for g in turned)]
-            linked = link_pairs(texts, flipped, row, code[rep][row], pos[rep][row], reach)
-            copies = np.flatnonzero(count > 1)
-            for g1, g2 in itertools.chain([(copies, copies)] if len(copies) else [], linked):
-                for a, b in _expanded(g1, g2, start, count):
-                    a, b = members[a], members[b]
-                    # a pair that lies wholly in the overlap belongs to the stretch it came from
-                    ok = ((home[a] == stretch[a]) | (home[b] == stretch[b])) & (ids[a] != ids[b])
-                    a, b = ids[a[ok]], ids[b[ok]]
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["id_a", "id_b"])
+            turned = np.array([i for i in range(len(ids)) if s1[i] != s0[i]], dtype=np.int64)
+            row = np.concatenate([np.arange(len(ids)), turned])
+            texts = [*s0, *(s1[i] for i in turned)]
+            for a, b in link_pairs(texts, np.arange(len(row)) >= len(ids), row, code[row], pos[row], reach):
+                # a pair that lies wholly in the overlap belongs to the stretch it came from
+                ok = (home[a] == stretch[a]) | (home[b] == stretch[b])
+                a, b = ids[a[ok]], ids[b[ok]]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["class_a", "class_b"])
 
         held: list[pa.Table] = []
         size = 0
@@ -424,59 +500,71 @@ def _light_links(spread: DataFrame, reach: int) -> DataFrame:
         if held:
             yield from links(held)
 
-    cols = spread.select("id", "place", "pos", "s0", "s1", "stretch", "home")
-    return keyed(cols, "place", "stretch").sortWithinPartitions("place", "stretch").mapInArrow(run, "id_a bigint, id_b bigint")
+    cols = spread.select("class_id", "place", "pos", "s0", "s1", "stretch", "home")
+    return keyed(cols, "place", "stretch").sortWithinPartitions("place", "stretch").mapInArrow(run, "class_a bigint, class_b bigint")
 
 
-def _heavy_links(spread: DataFrame, reach: int) -> DataFrame:
-    """Pairs of crowded stretches, by subsets and parts joined in the cluster."""
-    group = ["place", "stretch", "pos", "s0", "s1"]
-    key = F.concat_ws("\x01", "place", F.col("stretch").cast("string"), F.col("pos").cast("string"), "s0", F.coalesce("s1", F.lit("")))
-    rows = spread.select("id", (F.col("home") == F.col("stretch")).alias("own"), key.alias("k"), *group)
-    distinct = rows.select("k", *group).distinct()
+_KEYED = "key bigint, area bigint, class_id bigint, pos bigint, own boolean, turned boolean, s string"
+
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _heavy_keys(made: DataFrame, reach: int, make, probing: bool) -> DataFrame:
+    """Keys of the strings of ``made`` (class_id, area, pos, own, turned, s); ``make`` gives those of a class of a length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 2_000):
-                t = batch.slice(start, 2_000)
-                k, place, stretch, pos, s0, s1 = (t.column(i).to_pylist() for i in range(6))
-                out: list[tuple] = []
-                for i in range(len(k)):
-                    for turned, s in ((False, s0[i]), (True, s1[i])):
-                        if s is None or (turned and s == s0[i]):
-                            continue
-                        n, b = len(s), pos[i] // (reach + 1)
-                        made: list[tuple[str, bool]] = []
-                        if n <= ENUMERATED:
-                            for count in range(min(EDITS, n) + 1):
-                                texts = {"".join(s[x + 1 : y] for x, y in zip((-1, *drop), (*drop, n))) for drop in drops(n, count)}
-                                made += [(f"s{n - count}:{x}", False) for x in texts]
-                                if count == min(EDITS, n):
-                                    made += [(f"s{n - count}:{x}", True) for x in texts]
-                        if n > ENUMERATED - EDITS:
-                            made += [(f"p{n}.{j}:{s[a : a + m]}", False) for j, (a, m) in enumerate(parts_of(n))]
-                        if n > ENUMERATED:
-                            for shorter in range(n - EDITS, n + 1):
-                                for j, (_, m) in enumerate(parts_of(shorter)):
-                                    made += [(f"p{shorter}.{j}:{s[a : a + m]}", True) for a in starts_in(n, shorter, j)]
-                        head = f"{place[i]}\x01{stretch[i]}\x01"
-                        for x, probe in made:
-                            for d in (-1, 0, 1) if probe else (0,):
-                                out.append((f"{head}{b + d}\x01{x}", probe, turned, k[i], pos[i], s))
-                cols = list(zip(*out)) or [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, (pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.int64(), pa.string()))], names=["key", "probe", "turned", "k", "pos", "s"])
-
-    made = distinct.select("k", *group).mapInArrow(keys, "key string, probe boolean, turned boolean, k string, pos bigint, s string")
-    made = made.withColumn("key", F.xxhash64("key"))
-    index, probe = made.filter("NOT probe"), made.filter("probe")
-    names = lambda x: [F.col("key").alias(f"key{x}"), F.col("turned").alias(f"t{x}"), F.col("k").alias(f"k{x}"), F.col("pos").alias(f"p{x}"), F.col("s").alias(f"s{x}")]
-    met = index.select(*names(1)).join(probe.select(*names(2)), (F.col("key1") == F.col("key2")) & (F.abs(F.col("p1") - F.col("p2")) <= reach) & ~(F.col("t1") & F.col("t2")) & (F.col("k1") != F.col("k2")))
-    near = met.filter(F.levenshtein("s1", "s2", EDITS) >= 0)
-    pairs = near.select(F.least("k1", "k2").alias("ka"), F.greatest("k1", "k2").alias("kb")).distinct()
-    same = distinct.select(F.col("k").alias("ka"), F.col("k").alias("kb"))
-    all_ = pairs.unionByName(same)
-    one = rows.select(F.col("k").alias("ka"), F.col("id").alias("a"), F.col("own").alias("own_a"))
-    two = rows.select(F.col("k").alias("kb"), F.col("id").alias("b"), F.col("own").alias("own_b"))
-    linked = all_.join(one, "ka").join(two, "kb").filter("own_a OR own_b")
-    ordered = linked.filter((F.col("ka") != F.col("kb")) | (F.col("a") < F.col("b"))).filter("a != b")
-    return ordered.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
+            for first in range(0, batch.num_rows, 5_000):
+                t = batch.slice(first, 5_000)
+                classes, length = _classes(t.column(5).to_pylist())
+                power = _powers(int(length.max()))
+                places = _Places(t.column(1).to_numpy(), t.column(2).to_numpy(), reach)
+                for c in classes.values():
+                    for h in make(c, power):
+                        for k, at in places.spread(h, c.at) if probing else [(places.home[c.at] ^ h, c.at)]:
+                            take = pa.array(at)
+                            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), *(t.column(i).take(take) for i in (1, 0, 2, 3, 4, 5))], names=["key", "area", "class_id", "pos", "own", "turned", "s"])
+
+    return made.select("class_id", "area", "pos", "own", "turned", "s").mapInArrow(run, _KEYED)
+
+
+def heavy_boundary(made: DataFrame, reach: int) -> tuple[int, list[int]]:
+    """The greatest length that counts as small among the strings of crowded stretches, and all lengths.
+
+    One aggregate of the lists' lengths: a row per length reaches the driver.
+    """
+    keys = _heavy_keys(made, reach, listed_parts, False)
+    lists = keys.groupBy(F.length("s").alias("n"), "key").agg(F.count("*").alias("c"))
+    by = {r["n"]: (r["c"], r["cc"]) for r in lists.groupBy("n").agg(F.sum("c").alias("c"), F.sum(F.col("c").cast("double") * F.col("c")).alias("cc")).collect()}
+    sizes = sorted(by)
+    scan, enum = [], []
+    for n in sizes:
+        probes = sum(len(starts_in(n, m, i)) * (by[m][1] - by[m][0]) / by[m][0] for m in range(max(n - EDITS, 1), n + 1) if m in by for i in range(EDITS + 1))
+        a, b = costs(n, by, probes)
+        strings = by[n][0] / (EDITS + 1)
+        scan.append(a * strings)
+        enum.append(b * strings)
+    k = cheapest(np.array(scan), np.array(enum)) if sizes else 0
+    return (sizes[k - 1] if k else 0), sizes
+
+
+def _heavy_links(spread: DataFrame, reach: int) -> DataFrame:
+    """Links of crowded stretches: keys of lists and of subsets joined in the cluster, candidates checked as they meet."""
+    area, own = F.xxhash64("place", "stretch"), F.col("home") == F.col("stretch")
+    both = F.when(F.col("s1") != F.col("s0"), F.array(F.struct(F.lit(False).alias("turned"), F.col("s0").alias("s")), F.struct(F.lit(True).alias("turned"), F.col("s1").alias("s")))).otherwise(F.array(F.struct(F.lit(False).alias("turned"), F.col("s0").alias("s"))))
+    made = stored(spread.select("class_id", area.alias("area"), "pos", own.alias("own"), F.explode(both).alias("x")).select("class_id", "area", "pos", "own", "x.*"))
+    upto, sizes = heavy_boundary(made, reach)
+    lengths = set(sizes)
+    small, large = made.filter(F.length("s") <= upto), made.filter(F.length("s") > upto)
+    sides = []
+    if sizes and upto < sizes[-1]:
+        # large sets scan the lists of all that aren't longer
+        sides.append((_heavy_keys(made.filter(F.length("s") >= upto + 1 - EDITS), reach, listed_parts, False), _heavy_keys(large, reach, lambda c, power: probed_parts(c, power, lengths), True)))
+    if upto:
+        sides.append((_heavy_keys(small, reach, listed_subsets, False), _heavy_keys(small, reach, lambda c, power: probed_subsets(c, power, lengths), True)))
+    pairs = None
+    for index, probe in sides:
+        two = probe.select(*[F.col(c).alias(f"{c}_2") for c in probe.columns])
+        close = (F.abs(F.col("pos") - F.col("pos_2")) <= reach) & ~(F.col("turned") & F.col("turned_2")) & (F.col("class_id") != F.col("class_id_2")) & (F.col("own") | F.col("own_2"))
+        met = index.join(two, (F.col("key") == F.col("key_2")) & (F.col("area") == F.col("area_2")) & close).filter(F.levenshtein("s", "s_2", EDITS) >= 0)
+        one = met.select(F.least("class_id", "class_id_2").alias("class_a"), F.greatest("class_id", "class_id_2").alias("class_b"))
+        pairs = one if pairs is None else pairs.unionByName(one)
+    return pairs.distinct()

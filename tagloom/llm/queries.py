@@ -18,6 +18,12 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return links.select(F.col("id_a").alias("tag_id_a"), F.col("id_b").alias("tag_id_b"))
 
 
+def p2_members(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per tag: its class of copies and the number of tags that it is linked to; as large as the table."""
+    out = editjoin.edit_degrees(table(spark, folder, "tagcluster"), "tag_id", "rname", "pos", "umi_rep")
+    return out.select(F.col("id").alias("tag_id"), "class_id", "n_links")
+
+
 #: Rank error of p4's percentiles, as a part of the values: per day, and per sample.
 P4_ERROR = 0.002
 P4_SAMPLE_ERROR = 1.5 * P4_ERROR
@@ -137,6 +143,7 @@ def p9_languages(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
+    "p2_members": p2_members,
     "p3_found": p3_found,
     "p3_survivors": p3_survivors,
     "p4_percentiles": p4_percentiles,
@@ -153,7 +160,20 @@ _FIRST = """
 SELECT grp, '{field}' AS field, qname FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY pri DESC, measured_at DESC NULLS LAST, ndups DESC, row_no) AS k
   FROM ranked WHERE n > 1 AND {valid}) WHERE k = 1"""
 
+# all pairs of neighbouring places, compared in full
+_P2 = r"""
+WITH r AS (SELECT tag_id, rname, pos, regexp_replace(umi_rep, '^[^A-Za-z]+|[^A-Za-z]+$', '', 'g') AS core FROM tagcluster WHERE tag_id IS NOT NULL AND rname IS NOT NULL AND pos IS NOT NULL AND regexp_matches(umi_rep, '[A-Za-z]')),
+f AS (SELECT tag_id, rname, pos, upper(regexp_replace(core, '[^A-Za-z]', '', 'g')) AS s0, CASE WHEN regexp_matches(core, '[^A-Za-z]') THEN upper(regexp_replace(regexp_extract(core, '^[A-Za-z]+[^A-Za-z]+(.*)$', 1), '[^A-Za-z]', '', 'g') || regexp_extract(core, '^([A-Za-z]+)', 1)) END AS s1 FROM r),
+n AS (SELECT a.tag_id AS tag_id_a, b.tag_id AS tag_id_b, a.s0 AS a0, a.s1 AS a1, b.s0 AS b0, b.s1 AS b1 FROM (SELECT *, unnest([pos // 5 - 1, pos // 5, pos // 5 + 1]) AS k FROM f) a JOIN (SELECT *, pos // 5 AS k FROM f) b
+  ON a.rname = b.rname AND a.k = b.k AND abs(a.pos - b.pos) <= 4 AND a.tag_id < b.tag_id),
+p AS (SELECT tag_id_a, tag_id_b FROM n WHERE levenshtein(a0, b0) <= 2 OR levenshtein(a1, b0) <= 2 OR levenshtein(a0, b1) <= 2)
+"""
+
 ORACLE: dict[str, str] = {
+    "p2_found": _P2 + "SELECT * FROM p",
+    "p2_members": _P2
+    + """, d AS (SELECT tag_id_a AS tag_id FROM p UNION ALL SELECT tag_id_b FROM p), m AS (SELECT tag_id, count(*) AS n FROM d GROUP BY 1)
+SELECT f.tag_id, min(f.tag_id) OVER (PARTITION BY rname, pos, s0, s1) AS class_id, coalesce(n, 0) AS n_links FROM f LEFT JOIN m USING (tag_id)""",
     "p3_found": f"WITH ranked AS (SELECT *, coalesce(priority, {_SCORE}) AS pri, count(*) OVER (PARTITION BY grp) AS n FROM tagaln)"
     + " UNION ALL ".join(_FIRST.format(field=f, valid=v) for f, v in (("record", "true"), ("polya_len_1", "polya_len_1 >= 0"), ("polya_len_2", "polya_len_2 >= 0"), ("umi", "regexp_full_match(umi, '[ACGT]+')"))),
     # the joint optimum by plain enumeration of what occurred together, and of either bundle alone

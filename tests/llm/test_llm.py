@@ -71,7 +71,7 @@ def brute_links(rows):
 def test_edit_links_on_the_table(spark, data, heavy):
     t = table(spark, data, "tagcluster")
     rows = [(r["tag_id"], r["rname"], r["pos"], r["umi_rep"]) for r in t.collect()]
-    got = [tuple(r) for r in editjoin.edit_links(t, "tag_id", "rname", "pos", "umi_rep", heavy_rows=heavy).collect()]
+    got = [tuple(r) for r in editjoin.edit_links(t, "tag_id", "rname", "pos", "umi_rep", heavy=heavy).collect()]
     assert len(got) == len(set(got)) and set(got) == brute_links(rows)
 
 
@@ -83,26 +83,82 @@ def test_edit_links_on_odd_rows(spark, heavy):
     rows = [(i, a, p, u if i % 4 else u[:2] + "-_"[i % 8 // 4] + u[2:]) for i, a, p, u in rows]
     rows += [(900, "x", 255, None), (901, "x", 255, ""), (902, "x", 255, "--"), (903, None, 255, "ACG"), (904, "x", None, "ACG"), (905, "x", 256, "-acg+"), (906, "x", 256, "A" * 60), (907, "x", 257, "A" * 59 + "C"), (908, "x", 255, "A" * 44 + "CC"), (909, "x", 255, "C" + "A" * 44), (905, "x", 256, "-acg+")]
     df = spark.createDataFrame(rows, "id long, place string, pos int, umi string").withColumn("stretch", F.lit("clash")).withColumn("s0", F.lit(1))
-    got = [tuple(r) for r in editjoin.edit_links(df, "id", "place", "pos", "umi", heavy_rows=heavy).collect()]
+    got = [tuple(r) for r in editjoin.edit_links(df, "id", "place", "pos", "umi", heavy=heavy).collect()]
     assert set(got) == brute_links(rows)
     assert editjoin.edit_links(df.limit(0), "id", "place", "pos", "umi").count() == 0
 
 
 def test_both_sides_of_the_boundary():
     rnd = random.Random(5)
-    base = ["".join(rnd.choice("AC") for _ in range(n)) for n in (3, 4, 5, 6, 9, 12) for _ in range(30)]
+    # many short strings make long lists
+    base = ["".join(rnd.choice("AC") for _ in range(n)) for n in (3, 4, 5, 6, 9, 12) for _ in range(60)] + ["".join(rnd.choice("ACGT") for _ in range(24)) for _ in range(20)]
+    base += [b[:7] + b[8:] for b in base[-20:]]
     zeros, row = np.zeros(len(base), dtype=np.int64), np.arange(len(base))
     stats: dict = {}
-    keys = editjoin.KEYS_AT_ONCE
+    at_once = editjoin.PROBES_AT_ONCE
     try:
-        editjoin.KEYS_AT_ONCE = 2000
+        editjoin.PROBES_AT_ONCE = 500
         got = {(int(a), int(b)) for x, y in editjoin.link_pairs(base, zeros > 0, row, zeros, zeros, 4, stats) for a, b in zip(x, y)}
     finally:
-        editjoin.KEYS_AT_ONCE = keys
+        editjoin.PROBES_AT_ONCE = at_once
     assert stats["small"] > 0 and stats["large"] > 0
     assert got == {(i, j) for i in row.tolist() for j in range(i + 1, len(base)) if edits(base[i], base[j]) <= 2}
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("AC", min_size=1, max_size=11), min_size=2, max_size=40), st.integers(0, 12))
+def test_any_boundary_finds_all_links(strings, upto):
+    """Both halves by force: strings up to a length are enumerated, longer ones scan."""
+    zeros, row = np.zeros(len(strings), dtype=np.int64), np.arange(len(strings))
+    kept = editjoin.cheapest
+    try:
+        sizes = np.unique([len(s) for s in strings])
+        editjoin.cheapest = lambda scan, enum: int((sizes <= upto).sum())
+        editjoin.CHECKED, known = 1e6, editjoin.CHECKED
+        got = {(int(a), int(b)) for x, y in editjoin.link_pairs(strings, zeros > 0, row, zeros, zeros, 4) for a, b in zip(x, y)}
+    finally:
+        editjoin.cheapest, editjoin.CHECKED = kept, known
+    assert got == {(i, j) for i in row.tolist() for j in range(i + 1, len(strings)) if edits(strings[i], strings[j]) <= 2}
+
+
+def test_both_halves_work_on_the_table(data):
+    """The crowded stretches of tagcluster enumerate, the quiet ones scan; by cost, at the largest size."""
+    import pyarrow.parquet as pq
+
+    path = data.replace("sf0.001", "check_l") + "/tagcluster.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no larger table here")
+    t = pq.read_table(path, columns=["rname", "pos", "umi_rep"]).to_pylist()
+    known = sorted({(r["rname"], r["pos"] // 256, r["pos"], re.sub("[^A-Za-z]", "", r["umi_rep"] or "").upper()) for r in t if r["rname"] is not None and r["pos"] is not None})
+    known = [k for k in known if k[3]]
+    crowded = Counter(k[:2] for k in known).most_common(60)
+    chosen = [k for k in known if k[:2] in {c for c, _ in crowded}]
+    code = {c: i for i, (c, _) in enumerate(crowded)}
+    stats: dict = {}
+    zeros = np.zeros(len(chosen), dtype=bool)
+    sum(len(a) for a, _ in editjoin.link_pairs([k[3] for k in chosen], zeros, np.arange(len(chosen)), np.array([code[k[:2]] for k in chosen]), np.array([k[2] for k in chosen]), 4, stats))
+    assert stats["small"] > 0 and stats["large"] > 0
+
+
+def test_boundary_of_crowded_stretches(spark):
+    rnd = random.Random(6)
+    short = ["".join(rnd.choice("ACGT") for _ in range(8)) for _ in range(3000)]
+    long = ["".join(rnd.choice("ACGT") for _ in range(40)) for _ in range(300)]
+    rows = [(i, 1, 5, True, False, s) for i, s in enumerate(short + long)]
+    made = spark.createDataFrame(rows, "class_id long, area long, pos long, own boolean, turned boolean, s string")
+    upto, sizes = editjoin.heavy_boundary(made, 4)
+    assert upto == 8 and sizes == [8, 40]
+
+
+def test_degrees_are_those_of_the_pairs(spark, data):
+    t = table(spark, data, "tagcluster")
+    n = Counter(x for r in editjoin.edit_links(t, "tag_id", "rname", "pos", "umi_rep").collect() for x in r)
+    got = editjoin.edit_degrees(t, "tag_id", "rname", "pos", "umi_rep").collect()
+    assert {r["id"]: r["n_links"] for r in got if r["n_links"]} == n and len({r["id"] for r in got}) == len(got)
+    places = {r["tag_id"]: (r["rname"], r["pos"], re.sub("[^A-Za-z]", "", r["umi_rep"]).upper()) for r in t.filter("umi_rep IS NOT NULL").collect()}
+    assert all(places[r["id"]] == places[r["class_id"]] for r in got)
+
+
 # ---- p3
 
 
@@ -361,14 +417,6 @@ def test_wrong_label_and_foreign_passage(spark):
     assert got == {(1, 3, "de"), (2, 0, "de"), (3, 0, "de")}
 
 
-def test_copies_are_written_out_in_pieces():
-    start, count = np.array([0, 3, 4]), np.array([3, 1, 5])
-    for most in (1, 2, 4, 1000):
-        got = [(int(x), int(y)) for a, b in editjoin._expanded(np.array([0, 2, 0, 1]), np.array([0, 2, 2, 2]), start, count, most) for x, y in zip(a, b)]
-        want = [(x, y) for x in range(3) for y in range(x + 1, 3)] + [(x, y) for x in range(4, 9) for y in range(x + 1, 9)] + [(x, y) for x in range(3) for y in range(4, 9)] + [(3, y) for y in range(4, 9)]
-        assert sorted(got) == sorted(want)
-
-
 def test_a_label_that_is_only_ever_wrong_is_no_language():
     rnd = random.Random(8)
     vocabulary = {"en": "the man was in house and road stood near old mill with many people", "de": "der mann war nicht auf dem berg und die alte stadt lag neben einem fluss", "fr": "la vieille ville est dans une vallée avec beaucoup de maisons et un pont"}
