@@ -383,21 +383,20 @@ def cheapest(scan: np.ndarray, enum: np.ndarray) -> int:
     return int(np.argmin(total))
 
 
-def forms(text: Column) -> tuple[Column, Column]:
-    """The letters of a field in upper case, and the same with the two segments around
-    its (first) separator exchanged; the latter is null where there is no separator."""
-    core = F.regexp_replace(text, "^[^A-Za-z]+|[^A-Za-z]+$", "")
-    letters = lambda c: F.upper(F.regexp_replace(c, "[^A-Za-z]", ""))
-    head, tail = F.regexp_extract(core, "^([A-Za-z]+)[^A-Za-z]", 1), F.regexp_extract(core, "(?s)^[A-Za-z]+[^A-Za-z]+(.*)$", 1)
-    plain = letters(core)
-    return F.when(plain != "", plain), F.when(head != "", F.concat(letters(tail), F.upper(head)))
+def forms(words: Column) -> tuple[Column, Column]:
+    """Of a field's runs of letters: all of them in upper case, and the same with the first
+    one behind the others, which exchanges the two segments around the first separator."""
+    plain = F.upper(F.array_join(words, ""))
+    return plain, F.when(F.size(words) > 1, F.upper(F.concat(F.array_join(F.slice(words, 2, F.size(words)), ""), F.get(words, F.lit(0))))).otherwise(plain)
 
 
 def _rows(df: DataFrame, row_id: str, place: str, pos: str, text: str) -> DataFrame:
-    plain, turned = forms(F.col(f"`{text}`"))
-    rows = df.select(F.col(f"`{row_id}`").cast("bigint").alias("id"), F.col(f"`{place}`").cast("string").alias("place"), F.col(f"`{pos}`").cast("bigint").alias("pos"), plain.alias("s0"), turned.alias("s1"))
-    rows = rows.filter("id IS NOT NULL AND place IS NOT NULL AND pos IS NOT NULL AND s0 IS NOT NULL")
-    return rows.withColumn("s1", F.coalesce("s1", "s0"))
+    rows = df.select(F.col(f"`{row_id}`").cast("bigint").alias("id"), F.col(f"`{place}`").cast("string").alias("place"), F.col(f"`{pos}`").cast("bigint").alias("pos"), F.col(f"`{text}`").alias("text"))
+    rows = rows.filter("id IS NOT NULL AND place IS NOT NULL AND pos IS NOT NULL AND text IS NOT NULL")
+    # a generator of one row keeps the optimizer from writing the pattern into every filter and key
+    made = rows.select("id", "place", "pos", F.explode(F.array(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)))).alias("words")).filter(F.size("words") > 0)
+    plain, turned = forms(F.col("words"))
+    return made.select("id", "place", "pos", plain.alias("s0"), turned.alias("s1"))
 
 
 def edit_classes(df: DataFrame, row_id: str, place: str, pos: str, text: str, reach: int = 4, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
@@ -432,7 +431,8 @@ def edit_links(df: DataFrame, row_id: str, place: str, pos: str, text: str, reac
     others; repeated ids count as rows of their own but give no pair with themselves.
     """
     classes, links = edit_classes(df, row_id, place, pos, text, reach, heavy)
-    copies = edit_members(df, row_id, place, pos, text, classes.filter("n_rows > 1"))
+    # classes of several rows are few as a rule: as tables their sizes tell the planner how to join
+    copies = stored(edit_members(df, row_id, place, pos, text, stored(classes.filter("n_rows > 1"))))
     one, two = copies.select(F.col("class_id").alias("ka"), F.col("id").alias("a")), copies.select(F.col("class_id").alias("kb"), F.col("id").alias("b"))
     between = links.join(one, F.col("class_a") == F.col("ka"), "left").join(two, F.col("class_b") == F.col("kb"), "left")
     between = between.select(F.coalesce("a", "class_a").alias("a"), F.coalesce("b", "class_b").alias("b"))
