@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tagloom.session import durable
 
 FAN_IN = 64
+#: Rows of a run that are rounded at once; a longer run goes on with its open row and its series of draws.
+PIECE = 50_000
 SCHEMA = "doc_id bigint, source string, n_tokens bigint, base int, p double, bucket bigint, done boolean"
 
 
@@ -62,7 +64,7 @@ def _round_run(p: np.ndarray, w: np.ndarray, random: np.random.Generator, last:
     return p
 
 
-def _round_level(df: DataFrame, partitions: int, seed: int, level: int, last: bool) -> DataFrame:
+def _round_level(df: DataFrame, partitions: int, seed: int, level: int, last: bool, piece: int = PIECE) -> DataFrame:
     """One level of the tree: every (bucket, source) leaves at most one open row.
 
     Rows are sorted before they are rounded and the draws depend on the bucket, the
@@ -72,11 +74,11 @@ def _round_level(df: DataFrame, partitions: int, seed: int, level: int, last: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         group: tuple | None = None
+        random = np.random.default_rng(0)
 
-        def settle() -> pa.RecordBatch:
+        def settle(end: bool) -> pa.RecordBatch:
             ids, sources, tokens, bases, p, buckets = (np.array(x, dtype=object) for x in zip(*held))
-            key = [seed, level, *np.frombuffer(f"{group[0]}|{group[1]}".encode(), dtype=np.uint8).tolist()]
-            out = _round_run(p.astype(float), tokens.astype(float), np.random.default_rng(key), last)
+            out = _round_run(p.astype(float), tokens.astype(float), random, last and end)
             done = (out <= 0) | (out >= 1)
             return pa.RecordBatch.from_arrays(
                 [pa.array(ids.tolist(), pa.int64()), pa.array(sources.tolist(), pa.string()), pa.array(tokens.tolist(), pa.int64()), pa.array((bases.astype(np.int64) + (out >= 1)).tolist(), pa.int32()), pa.array(np.where(done, 0.0, out)), pa.array(buckets.tolist(), pa.int64()), pa.array(done)],
@@ -86,19 +88,21 @@ def _round_level(df: DataFrame, partitions: int, seed: int, level: int, last: bo
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns[:6])):
                 at = (row[5], row[1])
-                # a long run is settled in pieces: its open row goes on into the next piece
-                if held and (at != group or len(held) >= 50_000):
-                    out = settle()
+                if held and at != group:
+                    yield settle(True)
                     held = []
-                    if at == group and not last:
-                        open_rows = out.filter(pc.invert(out.column("done")))
-                        held = [tuple(r[k] for k in ("doc_id", "source", "n_tokens", "base", "p", "bucket")) for r in open_rows.to_pylist()]
-                        out = out.filter(out.column("done"))
-                    yield out
-                group = at
+                elif len(held) >= piece:
+                    # a long run is settled in pieces: its open row goes on into the next one
+                    out = settle(False)
+                    held = [tuple(r[k] for k in ("doc_id", "source", "n_tokens", "base", "p", "bucket")) for r in out.filter(pc.invert(out.column("done"))).to_pylist()]
+                    yield out.filter(out.column("done"))
+                if at != group:
+                    # one series of draws per run, which its pieces go on with
+                    random = np.random.default_rng([seed, level, *f"{at[0]}|{at[1]}".encode()])
+                    group = at
                 held.append(row)
         if held:
-            yield settle()
+            yield settle(True)
 
     cols = ["doc_id", "source", "n_tokens", "base", "p", "bucket"]
     return df.select(*cols).repartition(partitions, "bucket").sortWithinPartitions("bucket", "source", "doc_id").mapInArrow(run, SCHEMA)
@@ -137,7 +141,7 @@ def mix_sources(counts: DataFrame, targets: DataFrame, total_tokens: int | None
     plan = plan_shares(counts, targets, total_tokens)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     base = F.floor(F.col("copies") + F.lit(1e-12)).cast("int")
-    rows = counts.filter("n_tokens > 0").join(plan.select("source", "copies").hint("broadcast"), "source")
+    rows = counts.filter("n_tokens > 0").join(plan.select("source", "copies"), "source")
     rows = rows.select("doc_id", "source", "n_tokens", base.alias("base"), F.greatest(F.lit(0.0), F.col("copies") - base).alias("p"), F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("bucket"))
     level, leaves = 0, durable(_round_level(rows, n, seed, 0, n == 1))
     parts, rest = [leaves.filter("done")], leaves.filter("NOT done")
@@ -153,8 +157,12 @@ def mix_sources(counts: DataFrame, targets: DataFrame, total_tokens: int | None
 def mix_shares(selection: DataFrame, counts: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
     """What came out, a row per target source.
 
-    actual_share is the source's part of the tokens of the whole mix; shortfall_tokens
-    is what the source lacks of its target, 0 where it lacks less than a document.
+    actual_share is the source's part of the tokens of the mix that came out, share_of_total its
+    part of the total that was asked for: where a source falls short, the mix is smaller
+    than the total, and the others' parts of it grow although they have no more tokens
+    than they should. shortfall_tokens is what the source lacks of its target, 0 where
+    it lacks less than a document; within_a_document says whether a source that has
+    enough is within its longest document of the target.
     """
     got = selection.groupBy("source").agg(F.count("*").alias("n_docs"), F.max("copies").alias("most_copies"), F.max("n_tokens").alias("longest"), F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"))
     got = durable(got)
@@ -170,7 +178,9 @@ def mix_shares(selection: DataFrame, counts: DataFrame, targets: DataFrame, tota
         "have_tokens",
         tokens.alias("actual_tokens"),
         (tokens / F.lit(max(1, mix_tokens)).cast("double")).alias("actual_share"),
+        F.when(F.col("target_share") > 0, tokens * F.col("target_share") / F.col("want_tokens")).otherwise(0.0).alias("share_of_total"),
         F.when(lack > F.coalesce("longest", F.lit(0)), F.ceil(lack)).otherwise(0).cast("bigint").alias("shortfall_tokens"),
+        ((lack <= F.coalesce("longest", F.lit(0))) & (-lack <= F.coalesce("longest", F.lit(0)))).alias("within_a_document"),
         F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
         F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
     )

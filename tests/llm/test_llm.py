@@ -356,6 +356,24 @@ def test_rounding_keeps_each_probability():
     assert np.abs(hits / 4000 - p).max() < 0.04
 
 
+def test_pieces_of_a_run_draw_anew(spark):
+    """Over 50,000 rows in one bucket: every document's probability holds, no piece repeats another's draws."""
+    n, p = 120_000, 0.3
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit(10).cast("bigint").alias("n_tokens"), F.lit(0).alias("base"), F.lit(p).alias("p"), F.lit(0).cast("bigint").alias("bucket"))
+    got = mix._round_level(rows, 1, 5, 0, True).toPandas().sort_values("doc_id")
+    chosen = got["base"].to_numpy() > 0
+    assert len(got) == n and got["done"].all() and abs(int(chosen.sum()) - n * p) <= 1
+    pieces = [chosen[k : k + 40_000] for k in (0, 50_000)]
+    assert 0.3 < (pieces[0] == pieces[1]).mean() < 0.7
+    small = mix._round_level(rows.limit(2_000).coalesce(1), 1, 5, 0, True, piece=100).toPandas()
+    assert len(small) == 2_000 and small["done"].all() and abs(int((small["base"] > 0).sum()) - 600) <= 1
+    hits = np.zeros(40)
+    few = rows.limit(40).cache()
+    for seed in range(60):
+        hits += mix._round_level(few, 1, seed, 0, True, piece=7).toPandas().sort_values("doc_id")["base"].to_numpy() > 0
+    assert abs(hits.mean() / 60 - p) < 0.02 and np.abs(hits / 60 - p).max() < 0.25
+
+
 # ---- p9
 
 
