@@ -15,7 +15,8 @@ of passages that occur again, as in revisions of a page.
 Training uses a bounded sample of labelled texts and doesn't trust the labels: the
 sample is split in two, each half is coded by trees of the other, labels whose texts
 other languages explain as well are dropped, and only passages that agree with their
-label train the final trees.
+label train the final trees. A label of few texts is judged by how badly the other
+languages code them, which needs no trees of its own: one text is enough.
 """
 
 from __future__ import annotations
@@ -38,9 +39,12 @@ ORDER = 4
 #: Labelled documents per language that are read for training, and the longest of them in characters.
 SAMPLE_DOCS = 120
 SAMPLE_CHARS = 20_000
-#: A label is a language if this part of its passages, and this number, has a code of at most
-#: CLEARLY times the length that the other languages give it.
-SURVIVE, LEAST, CLEARLY = 0.4, 3, 0.85
+#: A passage speaks for its label if its own trees code it in CLEARLY of the bits that any language
+#: so far needs, or if these need more than STRANGE times the bits per letter that their own texts take.
+CLEARLY, STRANGE = 0.85, 1.35
+#: Part of a label's passages that must speak for it: labels are wrong for about a tenth of the texts,
+#: never for most of those of a language that occurs.
+SPEAK = 0.4
 CACHED = 60_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -230,16 +234,17 @@ def train(sample: list[tuple[int, str, str]], frequency: dict[str, int] | None =
 
     Each half of the sample is coded by trees of the other half. The labels are then
     taken from the most frequent one on (``frequency``: documents per label, by default
-    those of the sample): a label is a language if enough of its passages are coded
-    clearly shorter by its own tree than by any language so far. The texts of a label
-    that is only ever given wrongly are coded as well by the languages that they are in.
-    The final trees learn the passages whose shortest code is that of their label.
+    those of the sample). A label is a language if enough of its passages speak for it:
+    they are coded clearly shorter by its own trees than by any language so far, or all of
+    these code them far worse than texts of their own. The texts of a label that is only
+    ever given wrongly are coded well by the languages that they are in. The final trees
+    learn the passages whose shortest code is that of their label, and those that speak
+    for it.
     """
     parts: list[tuple[int, str, list[str]]] = []
     for i, (_, label, text) in enumerate(sorted(sample)):
         parts += [(i % 2, label, found) for _, found in judged(text) if found]
-    said = Counter(label for _, label, _ in parts)
-    labels = sorted(said)
+    labels = sorted({label for _, label, _ in parts})
     if not labels:
         return Trees.fit({})
 
@@ -250,19 +255,31 @@ def train(sample: list[tuple[int, str, str]], frequency: dict[str, int] | None =
         return Trees.fit(counts)
 
     judges = [Judge(fit(((label, found) for h, label, found in parts if h != half), labels)) for half in (0, 1)]
-    bits = np.array([judges[h].total(found) for h, _, found in parts])
+    letters = np.array([max(1, sum(map(len, found))) for _, _, found in parts])
+    bits = np.array([judges[h].total(found) for h, _, found in parts]) / letters[:, None]
     own = np.array([labels.index(label) for _, label, _ in parts])
     often = frequency or Counter(label for _, label, _ in sample)
     alive: list[int] = []
+    usual = np.full(len(labels), np.inf)
+    speaks = np.zeros(len(parts), dtype=bool)
     for label in sorted(labels, key=lambda x: (-often.get(x, 0), x)):
         at = labels.index(label)
-        mine = bits[own == at]
-        clear = len(mine) if not alive else int((mine[:, at] < CLEARLY * mine[:, alive].min(1)).sum())
-        if clear >= max(LEAST, SURVIVE * len(mine)) or not alive:
+        mine = own == at
+        if alive:
+            others = bits[:, alive]
+            strange = (others > STRANGE * usual[alive]).all(1)
+            speaks[mine] = ((bits[:, at] < CLEARLY * others.min(1)) | strange)[mine]
+        else:
+            speaks[mine] = True
+        if speaks[mine].sum() >= SPEAK * mine.sum():
             alive.append(at)
+            # bits per letter that the language's own texts take: the median keeps wrong labels out
+            usual[at] = np.median(bits[mine & speaks, at])
+        else:
+            speaks[mine] = False
     best = np.array(alive)[bits[:, alive].argmin(1)]
     names = sorted(labels[k] for k in alive)
-    return fit(((label, found) for (_, label, found), b, o in zip(parts, best, own) if b == o), names)
+    return fit(((label, found) for (_, label, found), b, o, ok in zip(parts, best, own, speaks) if o in alive and (b == o or ok)), names)
 
 
 def label_codes(languages: DataFrame) -> dict[str, str]:
@@ -289,14 +306,27 @@ def label_counts(df: DataFrame, codes: dict[str, str]) -> dict[str, int]:
     return {r["code"]: r["n"] for r in rows.collect()}
 
 
-def sample_texts(df: DataFrame, codes: dict[str, str], docs: int = SAMPLE_DOCS) -> list[tuple[int, str, str]]:
-    """At most ``docs`` labelled texts per language, picked by a hash of the id."""
-    labelled = df.select("doc_id", label_code(F.col("lang"), codes).alias("code")).filter("code IS NOT NULL AND doc_id IS NOT NULL")
-    rank = F.row_number().over(W.partitionBy("code").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    # ids only: at most docs x languages of them
-    ids = [r[0] for r in labelled.withColumn("k", rank).filter(F.col("k") <= docs).select("doc_id").collect()]
-    rows = df.filter(F.col("doc_id").isin(ids) & (F.length("text") <= SAMPLE_CHARS)).select("doc_id", label_code(F.col("lang"), codes).alias("code"), "text")
-    return [tuple(r) for r in rows.filter("code IS NOT NULL").collect()]
+#: Texts that a label's share of the hash range is chosen to hold, in multiples of those wanted.
+SLACK = 3
+
+
+def sample_texts(df: DataFrame, codes: dict[str, str], docs: int = SAMPLE_DOCS, counts: dict[str, int] | None = None) -> list[tuple[int, str, str]]:
+    """At most ``docs`` labelled texts per language, those of the least hashes of the id.
+
+    One pass: the number of documents per label (``counts``) tells below which hash
+    enough of them lie, so neither ids nor further texts are gathered. A label with few
+    documents is taken whole.
+    """
+    counts = label_counts(df, codes) if counts is None else counts
+    if not counts:
+        return []
+    share = {c: min(1.0, SLACK * docs / n) for c, n in counts.items()}
+    limit = F.create_map(*[x for c, s in share.items() for x in (F.lit(c), F.lit(int(s * (1 << 53))).cast("bigint"))])
+    h = F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
+    rows = df.select("doc_id", label_code(F.col("lang"), codes).alias("code"), h.alias("h"), "text").filter("doc_id IS NOT NULL AND code IS NOT NULL").filter(F.col("h") <= limit[F.col("code")])
+    rank = F.row_number().over(W.partitionBy("code").orderBy("h", "doc_id"))
+    kept = rows.filter(F.length("text") <= SAMPLE_CHARS).withColumn("k", rank).filter(F.col("k") <= docs)
+    return [tuple(r) for r in kept.select("doc_id", "code", "text").collect()]
 
 
 SCHEMA = "doc_id bigint, label string, main string, para_no int, lang string, confidence double, letters bigint"

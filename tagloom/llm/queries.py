@@ -137,7 +137,8 @@ def p8_check(spark: SparkSession, folder: str) -> DataFrame:
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     codes = langid.label_codes(table(spark, folder, "languages"))
-    return langid.judge_documents(documents, langid.train(langid.sample_texts(documents, codes), langid.label_counts(documents, codes)), codes)
+    counts = langid.label_counts(documents, codes)
+    return langid.judge_documents(documents, langid.train(langid.sample_texts(documents, codes, counts=counts), counts), codes)
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:

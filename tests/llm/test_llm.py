@@ -451,3 +451,27 @@ def test_a_label_that_is_only_ever_wrong_is_no_language():
     assert trees.languages == ["de", "en", "fr"]
     judge = langid.Judge(trees)
     assert all(trees.languages[judge(langid.words(text(x)))[0]] == x for x in vocabulary for _ in range(20))
+
+
+def test_a_language_of_one_text_is_found():
+    """A single document of a language of its own is enough; a single wrong label isn't one."""
+    rnd = random.Random(9)
+    vocabulary = {"en": "the man was in house and road stood near old mill with many people", "de": "der mann war nicht auf dem berg und die alte stadt lag neben einem fluss", "fi": "vanha kylä sijaitsee järven rannalla eikä siellä ollut yhtään kauppaa silloin"}
+
+    def text(language):
+        sentence = lambda: " ".join(rnd.choice(vocabulary[language].split()) for _ in range(9)).capitalize() + "."
+        return "\n\n".join(f"{sentence()} {sentence()}" for _ in range(4))
+
+    sample = [(i, language, text(language)) for i, language in enumerate(["en", "de"] * 40)] + [(900, "fi", text("fi")), (901, "ca", text("de"))]
+    trees = langid.train(sample, {"en": 900, "de": 500, "fi": 1, "ca": 1})
+    assert trees.languages == ["de", "en", "fi"]
+    judge = langid.Judge(trees)
+    assert all(trees.languages[judge(langid.words(text(x)))[0]] == x for x in vocabulary for _ in range(20))
+
+
+def test_the_sample_is_bounded_and_whole_where_few(spark):
+    rows = [(i, "en" if i % 50 else "de", f"text {i}") for i in range(5000)] + [(9000, None, "x"), (9001, "xx", "y"), (None, "en", "z"), (9002, "de", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = Counter(c for _, c, _ in langid.sample_texts(docs, {"en": "en", "de": "de"}, 120))
+    assert got == {"en": 120, "de": 100}
+    assert langid.sample_texts(docs.limit(0), {"en": "en"}) == []
