@@ -242,8 +242,10 @@ def train(sample: list[tuple[int, str, str]], frequency: dict[str, int] | None =
     for it.
     """
     parts: list[tuple[int, str, list[str]]] = []
-    for i, (_, label, text) in enumerate(sorted(sample)):
-        parts += [(i % 2, label, found) for _, found in judged(text) if found]
+    turn: Counter = Counter()
+    for _, label, text in sorted(sample):
+        turn[label] += 1  # each label's texts go to the halves in turn
+        parts += [(turn[label] % 2, label, found) for _, found in judged(text) if found]
     labels = sorted({label for _, label, _ in parts})
     if not labels:
         return Trees.fit({})
