@@ -1,11 +1,10 @@
 """References to records that do not exist.
 
-Parent keys are whole numbers. They are cut into buckets of fixed width, and inside
-each bucket the sorted keys are compressed into contiguous runs (start, end); the
-states of a run's keys (first seen, all deleted) are arrays that are addressed by
-``key - start``. A bucket's row has a bounded size whatever the data. A reference is
-matched as-of: it meets its bucket once, takes the run with the last start not
-after its key, and is an orphan if its key lies beyond that run's end.
+Parent keys are whole numbers of 64 bits. The sorted keys are compressed into contiguous
+runs, a row (start, end) each, cut only at the borders of buckets of fixed width. A
+reference is matched as-of: it meets the runs of its bucket by equality, takes the one
+with the last start not after its key, and is an orphan if its key lies beyond that
+run's end. Only references that hit look up their parent's state, in a second equi-join.
 """
 
 from __future__ import annotations
@@ -13,90 +12,75 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Keys per bucket: bounds the size of a bucket's row (at most WIDTH / 2 runs).
-WIDTH = 1024
-WHOLE = "decimal(38,0)"
+#: Keys per bucket as a power of two: bounds the runs that a reference can meet (half of the bucket's width).
+BITS = 8
+_BLANKS = " \t\n\x0b\x0c\r"
 
 
 def whole_number(text: Column) -> Column:
     """A dump id as a whole number: outer blanks, leading zeros and '.0' don't count.
 
-    Null where the text is no whole number of at most 38 digits.
+    Null where the text is no whole number of 64 bits, however long it is.
     """
-    s = F.regexp_replace(text.cast("string"), r"^\s+|\s+$", "")
-    return F.regexp_extract(s, r"^([+-]?\d+)(?:\.0*)?$", 1).try_cast(WHOLE)
+    s = F.btrim(text.cast("string"), F.lit(_BLANKS))
+    digits = F.when(F.instr(s, ".") == 0, s).otherwise(F.regexp_extract(s, r"^([+-]?\d+)\.0*$", 1))
+    return F.when(digits.rlike(r"^[+-]?[0-9]+$"), digits).try_cast("bigint")
 
 
 def refers(text: Column) -> Column:
     """Whether a field refers to anything: null, empty, blank and the dump's \\N don't."""
-    s = F.regexp_replace(text.cast("string"), r"^\s+|\s+$", "")
-    return F.coalesce(~s.isin("", "\\N"), F.lit(False))
+    return F.coalesce(~F.btrim(text.cast("string"), F.lit(_BLANKS)).isin("", "\\N"), F.lit(False))
 
 
-def _bucket(key: Column) -> Column:
-    return F.floor(key / F.lit(WIDTH)).cast(WHOLE)
+def parent_states(parents: Sequence[tuple[DataFrame, Column, Column, Column, Column]]) -> DataFrame:
+    """(kind, key, first_loaded, all_deleted) of the keys of parent tables, given as (table,
+    key, kind, load time, deletion time). Rows whose key is null or no 64-bit whole number
+    are no parents."""
+    rows = None
+    for df, key, kind, loaded, deleted in parents:
+        one = df.select(kind.alias("kind"), key.try_cast("bigint").alias("key"), loaded.alias("loaded"), deleted.isNotNull().alias("deleted"))
+        rows = one if rows is None else rows.unionByName(one)
+    rows = rows.filter("key IS NOT NULL AND kind IS NOT NULL")
+    return rows.groupBy("kind", "key").agg(F.min("loaded").alias("first_loaded"), F.min("deleted").alias("all_deleted"))
 
 
-def key_runs(parents: DataFrame, key: Column, kind: Column, loaded: Column, deleted: Column) -> DataFrame:
-    """``(kind, bucket, runs)``: the contiguous runs of the parents' keys.
+def key_runs(states: DataFrame) -> DataFrame:
+    """(kind, bucket, start, end): the contiguous runs of the parents' keys, a row each."""
+    keys = states.select("kind", "key", F.shiftright("key", BITS).alias("bucket"))
+    # keys that follow each other keep their distance from their number in the bucket
+    place = F.col("key") - F.row_number().over(W.partitionBy("kind", "bucket").orderBy("key"))
+    return keys.withColumn("run", place).groupBy("kind", "bucket", "run").agg(F.min("key").alias("start"), F.max("key").alias("end")).drop("run")
 
-    ``runs`` is an array, sorted by start, of struct(start, end, first_loaded[],
-    all_deleted[]). Rows whose key is null are no parents.
-    """
-    rows = parents.select(kind.alias("kind"), key.cast(WHOLE).alias("key"), loaded.alias("loaded"), deleted.alias("deleted")).filter("key IS NOT NULL")
-    each = rows.groupBy("kind", "key").agg(F.min("loaded").alias("first_loaded"), F.min(F.col("deleted").isNotNull()).alias("all_deleted"))
-    bound = each.groupBy("kind", _bucket(F.col("key")).alias("bucket")).agg(F.sort_array(F.collect_list(F.struct("key", "first_loaded", "all_deleted"))).alias("keys"))
-    starts = F.filter(F.sequence(F.lit(0), F.size("keys") - 1), lambda i: (i == 0) | (F.get("keys", i)["key"] != F.get("keys", i - 1)["key"] + 1))
-    with_starts = bound.withColumn("starts", starts)
-
-    def run(first: Column, n: Column) -> Column:
-        last = F.coalesce(F.get("starts", n + 1), F.size("keys")) - 1
-        part = F.slice("keys", first + 1, last - first + 1)
-        return F.struct(
-            F.get("keys", first)["key"].alias("start"),
-            F.get("keys", last)["key"].alias("end"),
-            F.transform(part, lambda k: k["first_loaded"]).alias("first_loaded"),
-            F.transform(part, lambda k: k["all_deleted"]).alias("all_deleted"),
-        )
-
-    return with_starts.select("kind", "bucket", F.transform("starts", run).alias("runs"))
-
-
-def orphan_references(
-    refs: DataFrame,
-    ref: Column,
-    ref_kind: Column,
-    loaded: Column,
-    runs: DataFrame,
-    keep: Sequence[Column],
-) -> DataFrame:
+
+def orphan_references(refs: DataFrame, ref: Column, ref_kind: Column, loaded: Column, states: DataFrame, keep: Sequence[Column]) -> DataFrame:
     """The bad references among ``refs``: ``keep`` columns, period (yyyy-MM) and kind.
 
-    kind is 'missing' (no parent has the key), 'deleted' (all its rows are deleted) or
-    'late' (its first row came after the referring row). A field that holds no
-    reference is skipped; one that holds something else than a whole number, or has a
-    null kind, can't be found and is 'missing'. A null load time of either side is
-    never late; the period of a null time is null. Every referring row counts, also
-    repeated ones. A hot key only makes its bucket's partition large: the join is an
-    ordinary equi-join with one match a row, which adaptive skew handling splits.
+    ``states`` comes from :func:`parent_states`. kind is 'missing' (no parent has the key),
+    'deleted' (all its rows are deleted) or 'late' (its first row came after the
+    referring row). A field that holds no reference is skipped; one that holds something
+    else than a 64-bit whole number, or has a null kind, can't be found and is 'missing'.
+    A null load time of either side is never late; the period of a null time is null.
+    Every referring row counts, also repeated ones. Both joins are equi-joins with at
+    most one match a row, so that adaptive skew handling splits a hot key's rows.
     """
     picked = refs.filter(refers(ref)).select(*keep, ref_kind.alias("__kind"), whole_number(ref).alias("__key"), loaded.alias("__loaded"))
-    # what can't match meets no bucket; spread it by its row instead of in one null partition
+    names = [f"`{c}`" for c in picked.columns if not c.startswith("__")]
+    period = F.date_format("__loaded", "yyyy-MM").alias("period")
+    # what can't match meets no bucket
     nowhere = F.col("__key").isNull() | F.col("__kind").isNull()
-    names = [c for c in picked.columns if not c.startswith("__")]
-    lost = picked.filter(nowhere).select(*[f"`{n}`" for n in names], F.date_format("__loaded", "yyyy-MM").alias("period"), F.lit("missing").alias("kind"))
-    found = picked.filter(~nowhere).withColumn("__bucket", _bucket(F.col("__key")))
-    side = runs.select(F.col("kind").alias("__k"), F.col("bucket").alias("__b"), "runs")
-    met = found.join(side, (F.col("__kind") == F.col("__k")) & (F.col("__bucket") == F.col("__b")), "left")
-    run = F.try_element_at(F.filter("runs", lambda r: r["start"] <= F.col("__key")), F.lit(-1))
-    at = (F.col("__key") - F.col("__run.start")).cast("int")
-    beyond = F.col("__run").isNull() | (F.col("__key") > F.col("__run.end"))
-    kind = (
-        F.when(beyond, "missing")
-        .when(F.get(F.col("__run.all_deleted"), at), "deleted")
-        .when(F.get(F.col("__run.first_loaded"), at) > F.col("__loaded"), "late")
-    )
-    bad = met.withColumn("__run", run).select(*[f"`{n}`" for n in names], F.date_format("__loaded", "yyyy-MM").alias("period"), kind.alias("kind")).filter("kind IS NOT NULL")
-    return bad.unionByName(lost)
+    lost = picked.filter(nowhere).select(*names, period, F.lit("missing").alias("kind"))
+    found = picked.filter(~nowhere).withColumn("__bucket", F.shiftright("__key", BITS))
+    # a run reaches, for the as-of match, to the next one's start
+    following = F.lead("start").over(W.partitionBy("kind", "bucket").orderBy("start"))
+    runs = key_runs(states).withColumn("until", F.coalesce(following, F.lit((1 << 63) - 1).cast("bigint")))
+    runs = runs.select(F.col("kind").alias("__k"), F.col("bucket").alias("__b"), F.col("start").alias("__start"), F.col("end").alias("__end"), F.col("until").alias("__until"))
+    same = (F.col("__kind") == F.col("__k")) & (F.col("__bucket") == F.col("__b"))
+    met = found.join(runs, same & (F.col("__key") >= F.col("__start")) & (F.col("__key") < F.col("__until")), "left")
+    hit = met.withColumn("__hit", F.when(F.col("__key") <= F.col("__end"), F.col("__key")))
+    side = states.select(F.col("kind").alias("__sk"), F.col("key").alias("__s"), "first_loaded", "all_deleted")
+    known = hit.join(side, (F.col("__kind") == F.col("__sk")) & (F.col("__hit") == F.col("__s")), "left")
+    kind = F.when(F.col("__hit").isNull(), "missing").when(F.col("all_deleted"), "deleted").when(F.col("first_loaded") > F.col("__loaded"), "late")
+    return known.select(*names, period, kind.alias("kind")).filter("kind IS NOT NULL").unionByName(lost)

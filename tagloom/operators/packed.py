@@ -24,16 +24,24 @@ def _quoted(quotes: str) -> str:
     return rf"(?s)(?<![^\s=;|{OPEN}])(?:{spans})"
 
 
+#: What a pattern's \\s stands for.
+BLANKS = " \t\n\x0b\x0c\r"
+
+
 def _unquote(span: Column) -> Column:
-    """The inside of a quoted span; an escaped or doubled quote stands for one."""
+    """The inside of a quoted span without outer blanks; an escaped or doubled quote stands for one."""
     quote = F.substring(span, 1, 1)
     inside = F.substring(span, F.lit(2), F.length(span) - 2)
-    inside = F.regexp_replace(inside, r"\\([\"'])", "$1")
-    return F.replace(inside, F.concat(quote, quote), quote)
+    inside = F.when(F.instr(inside, "\\") == 0, inside).otherwise(F.regexp_replace(inside, r"\\([\"'])", "$1"))
+    return _trim(F.replace(inside, F.concat(quote, quote), quote))
 
 
 def _trim(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def _ltrim(text: Column) -> Column:
+    return F.ltrim(text, F.lit(BLANKS))
 
 
 def packed_entries(text: Column, delimiters: str = ";|", quotes: str = "\"'", fold: bool = True) -> Column:
@@ -46,9 +54,13 @@ def packed_entries(text: Column, delimiters: str = ";|", quotes: str = "\"'", fo
     """
     pattern = _quoted(quotes)
     cased = F.lower if fold else lambda x: x
+    bare = F.lit(True)
+    for q in quotes:
+        bare = bare & (F.instr(text, q) == 0)
     safe = F.replace(F.coalesce(text, F.lit("")), F.lit(OPEN), F.lit(f"{OPEN}{LITERAL}{CLOSE}"))
-    spans = F.regexp_extract_all(safe, F.lit(pattern), F.lit(0))
-    gaps = F.split(safe, pattern, -1)
+    none = F.array().cast("array<string>")
+    spans = F.when(bare, none).otherwise(F.regexp_extract_all(safe, F.lit(pattern), F.lit(0)))
+    gaps = F.when(bare, F.array(safe)).otherwise(F.split(safe, pattern, -1))
 
     def entries(row: Column) -> Column:
         spans, gaps = row["spans"], row["gaps"]
@@ -56,28 +68,30 @@ def packed_entries(text: Column, delimiters: str = ";|", quotes: str = "\"'", fo
             F.transform(gaps, lambda gap, i: F.when(i < F.size(spans), F.concat(gap, F.lit(OPEN), i.cast("string"), F.lit(CLOSE))).otherwise(gap)), ""
         )
         parts = F.filter(F.transform(F.split(marked, f"[{delimiters}]", -1), _trim), lambda x: x != "")
+        return F.transform(F.array(F.struct(spans.alias("spans"), F.transform(spans, _unquote).alias("inside"), parts.alias("parts"))), named)
 
-        def restored(x: Column, unquote: bool) -> Column:
-            whole = F.regexp_extract(x, f"^{OPEN}(\\d+){CLOSE}$", 1)
+    def named(row: Column) -> Column:
+        spans, inside = row["spans"], row["inside"]
+
+        def restored(x: Column) -> Column:
+            """Placeholders put back; most texts have none, or are one as a whole."""
+            at = F.when(F.startswith(x, F.lit(OPEN)) & F.endswith(x, F.lit(CLOSE)), F.substring(x, F.lit(2), F.length(x) - 2).try_cast("int"))
             back = F.aggregate(
                 F.regexp_extract_all(x, F.lit(f"{OPEN}(\\d+){CLOSE}"), F.lit(1)),
                 x,
                 lambda acc, i: F.replace(acc, F.concat(F.lit(OPEN), i, F.lit(CLOSE)), F.get(spans, i.cast("int"))),
             )
-            plain = F.when(F.instr(x, OPEN) == 0, x).otherwise(back)
-            out = F.when(whole != "", _trim(_unquote(F.get(spans, whole.cast("int"))))).otherwise(plain)
-            return F.replace(out, F.lit(f"{OPEN}{LITERAL}{CLOSE}"), F.lit(OPEN))
-
-        return F.transform(
-            parts,
-            lambda x: F.struct(
-                cased(restored(F.regexp_extract(x, r"(?s)^([^\s=]+)", 1), True)).alias("name"),
-                restored(F.regexp_extract(x, r"(?s)^[^\s=]+(?:\s*=\s*|\s+)?(.*)$", 1), True).alias("value"),
-            ),
-        )
+            literal = lambda y: F.replace(y, F.lit(f"{OPEN}{LITERAL}{CLOSE}"), F.lit(OPEN))
+            return F.when(F.instr(x, OPEN) == 0, x).otherwise(literal(F.coalesce(F.get(inside, at), back)))
+
+        # name, then what follows it, each bound before it is used again
+        heads = F.transform(row["parts"], lambda x: F.struct(F.regexp_extract(x, r"(?s)^([^\s=]+)", 1).alias("n"), x.alias("x")))
+        rests = F.transform(heads, lambda p: F.struct(p["n"].alias("n"), _ltrim(F.substring(p["x"], F.length(p["n"]) + 1, F.length(p["x"]))).alias("r")))
+        values = F.transform(rests, lambda p: F.struct(p["n"].alias("n"), F.when(F.startswith(p["r"], F.lit("=")), _ltrim(F.substring(p["r"], F.lit(2), F.length(p["r"])))).otherwise(p["r"]).alias("v")))
+        return F.transform(values, lambda p: F.struct(cased(restored(p["n"])).alias("name"), restored(p["v"]).alias("value")))
 
     # the struct is bound once through a one-element array, so the patterns run once a row
-    once = F.transform(F.array(F.struct(spans.alias("spans"), gaps.alias("gaps"))), entries)
+    once = F.transform(F.array(F.struct(spans.alias("spans"), gaps.alias("gaps"))), lambda row: F.get(entries(row), F.lit(0)))
     return F.filter(F.get(once, F.lit(0)), lambda e: e["name"] != "")
 
 

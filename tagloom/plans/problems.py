@@ -26,25 +26,21 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 def gtf_wide(spark: SparkSession, folder: str) -> DataFrame:
     """One row per (feature, entity) of gtf with typed attribute columns."""
     gtf = spread(table(spark, folder, "gtf").select("line_no", F.lower("feature").alias("feature"), "loaded_at", "attribute").filter(F.col("feature").isin(*ENTITY_ID)))
-    entries = F.filter(packed.packed_entries(F.col("attribute")), lambda e: ~e["name"].isin(*LIST_NAMES))
-    cells = F.filter(
-        F.transform(entries, lambda e, i: F.struct(e["name"].alias("name"), wide.filled(e["value"], e["name"].isin(*NUMBER_NAMES)).alias("value"), i.alias("pos"))),
-        lambda e: e["value"].isNotNull(),
-    )
+    cells = F.filter(packed.packed_entries(F.col("attribute")), lambda e: ~e["name"].isin(*LIST_NAMES))
     id_name = F.element_at(F.create_map(*[F.lit(x) for kv in ENTITY_ID.items() for x in kv]), F.col("feature"))
     # a generator of one row keeps the optimizer from writing the parse into each of its uses
     lines = gtf.select("line_no", "feature", "loaded_at", id_name.alias("id_name"), F.explode(F.array(cells)).alias("cells"))
-    own = F.try_element_at(F.filter("cells", lambda e: e["name"] == F.col("id_name")), F.lit(-1))["value"]
-    long = lines.withColumn("entity_id", own).filter("entity_id IS NOT NULL").select("feature", "entity_id", "line_no", "loaded_at", F.explode("cells").alias("c"))
-    pairs = long.select("feature", "entity_id", "line_no", "loaded_at", F.col("c.name").alias("attr_name"), F.col("c.value").alias("attr_value"), F.col("c.pos").alias("pos"))
-    resolved = wide.resolve_pairs(pairs, ["feature", "entity_id"], "attr_name", "attr_value", [F.col("loaded_at"), F.col("line_no"), F.col("pos")])
-    return wide.widen(resolved, ["feature", "entity_id"], "attr_name", "attr_value", WIDE_COLUMNS)
+    own = F.try_element_at(F.filter("cells", lambda e: (e["name"] == F.col("id_name")) & wide.has_value(e["value"])), F.lit(-1))["value"]
+    long = lines.withColumn("entity_id", own).filter("entity_id IS NOT NULL").select("feature", "entity_id", "line_no", "loaded_at", F.posexplode("cells").alias("pos", "c"))
+    pairs = long.select("feature", "entity_id", "line_no", "loaded_at", F.col("c.name").alias("attr_name"), F.col("c.value").alias("attr_value"), "pos")
+    return wide.widen(pairs, ["feature", "entity_id"], "attr_name", "attr_value", WIDE_COLUMNS, [F.col("loaded_at"), F.col("line_no"), F.col("pos")])
 
 
 def p1_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """The wide table itself; maps as JSON text so that any engine can compare them."""
+    """The wide table itself; maps as sorted text so that any engine can compare them."""
     out = gtf_wide(spark, folder)
-    return out.withColumn("other", F.to_json("other")).withColumn("cast_failures", F.to_json("cast_failures"))
+    shown = lambda c: F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), "; ")
+    return out.withColumn("other", shown("other")).withColumn("cast_failures", shown("cast_failures"))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,10 +57,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
         (obj, F.col("object_xref_id"), F.lit("object_xref")),
         (ens, F.col("ensembl_id"), F.concat(F.lit("ensembl:"), clean("ensembl_object_type"))),
     ]
-    runs = None
-    for df, key, kind in parents:
-        one = orphans.key_runs(df, key, kind, F.col("loaded_at"), F.col("deleted_at"))
-        runs = one if runs is None else runs.unionByName(one)
+    states = orphans.parent_states([(df, key, kind, F.col("loaded_at"), F.col("deleted_at")) for df, key, kind in parents])
     # one pass over each referring table: its references side by side, then exploded
     ref = lambda table_, field, kind, value: F.struct(F.lit(table_).alias("src_table"), F.lit(field).alias("ref_field"), kind.alias("target"), value.alias("ref"))
     two = F.array(
@@ -75,7 +68,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
         ident.select("row_no", "loaded_at", ref("identity_xref", "object_xref_id", F.lit("object_xref"), F.col("object_xref_id")).alias("r"))
     )
     return orphans.orphan_references(
-        refs, F.col("r.ref"), F.col("r.target"), F.col("loaded_at"), runs, [F.col("r.src_table").alias("src_table"), F.col("r.ref_field").alias("ref_field"), F.col("row_no")]
+        refs, F.col("r.ref"), F.col("r.target"), F.col("loaded_at"), states, [F.col("r.src_table").alias("src_table"), F.col("r.ref_field").alias("ref_field"), F.col("row_no")]
     ).select("src_table", "ref_field", "row_no", "period", "kind")
 
 
@@ -124,13 +117,24 @@ _LISTS = ", ".join(f"'{n}'" for n in LIST_NAMES)
 _NUMBERS = ", ".join(f"'{n}'" for n in NUMBER_NAMES)
 _ID = "CASE feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ENTITY_ID.items()) + " END"
 
-ORACLE: dict[str, str] = {
-    "p1_found": _P5
+_P1 = (
+    _P5
     + rf""", c AS (SELECT line_no, feature, loaded_at, i, name, CASE WHEN name IN ({_NUMBERS}) THEN nullif(regexp_extract(value, '^0*(\d+)', 1), '')
-  WHEN regexp_matches(value, '[A-Za-z0-9]') AND lower(value) NOT IN ('na', 'n/a', 'null') THEN value END AS v FROM n WHERE name NOT IN ({_LISTS}) AND {_ID} IS NOT NULL),
+  WHEN regexp_matches(value, '[A-Za-z0-9]') AND lower(value) NOT IN ('na', 'n/a', 'null') THEN value END AS v, value FROM n WHERE name NOT IN ({_LISTS}) AND {_ID} IS NOT NULL),
 o AS (SELECT line_no, max_by(v, i) AS entity_id FROM c WHERE v IS NOT NULL AND name = {_ID} GROUP BY line_no),
 k AS (SELECT feature, entity_id, name, v, row_number() OVER (PARTITION BY feature, entity_id, name ORDER BY loaded_at DESC NULLS LAST, line_no DESC, i DESC) AS k FROM c JOIN o USING (line_no) WHERE v IS NOT NULL)
-SELECT feature, entity_id, name AS attr_name, v AS attr_value FROM k WHERE k = 1""",
+"""
+)
+
+ORACLE: dict[str, str] = {
+    "p1_found": _P1 + "SELECT feature, entity_id, name AS attr_name, v AS attr_value FROM k WHERE k = 1",
+    "p1_wide": _P1
+    + rf""", w AS (SELECT * FROM k WHERE k = 1), f AS (SELECT feature, entity_id, name, value, row_number() OVER (PARTITION BY feature, entity_id, name ORDER BY loaded_at DESC NULLS LAST, line_no DESC, i DESC) AS k
+  FROM c JOIN o USING (line_no) WHERE name IN ({_NUMBERS}) AND v IS NULL AND regexp_matches(value, '[A-Za-z0-9]') AND lower(value) NOT IN ('na', 'n/a', 'null')),
+x AS (SELECT feature, entity_id, string_agg(name || '=' || value, '; ' ORDER BY name || '=' || value) AS cast_failures FROM f WHERE k = 1 GROUP BY ALL)
+SELECT w.feature, w.entity_id, {", ".join(f"max(v) FILTER (name = '{n}'){'::BIGINT' if t != 'string' else ''} AS {n}" for n, t in WIDE_COLUMNS.items())},
+  coalesce(string_agg(name || '=' || v, '; ' ORDER BY name || '=' || v) FILTER (name NOT IN ({", ".join(f"'{n}'" for n in WIDE_COLUMNS)})), '') AS other, coalesce(any_value(cast_failures), '') AS cast_failures
+FROM w LEFT JOIN x ON x.feature = w.feature AND x.entity_id = w.entity_id GROUP BY w.feature, w.entity_id""",
     "p5_found": _P5
     + rf""", m AS (SELECT line_no, i, name, value, CASE WHEN name IN ({_LISTS}) THEN regexp_extract_all(value, '[A-Za-z0-9_:.\-]+') ELSE [] END AS ms FROM n),
 x AS (SELECT line_no, i, name, CASE WHEN len(ms) > 0 THEN ms ELSE [value] END AS vs FROM m), y AS (SELECT line_no, i, j, name, vs[j] AS v FROM x, range(1, len(vs) + 1) t(j))
