@@ -13,24 +13,54 @@ from tagloom.operators.packed import packed_entries
 from tagloom.session import durable
 
 
-def resolve_transitively(changes: DataFrame, old: str, new: str, most: int = 100) -> DataFrame:
+def resolve_transitively(changes: DataFrame, old: str, new: str) -> DataFrame:
     """(old, final): every final id that an id's chain of changes ends in.
 
-    A final id is one that isn't changed any more. Each round joins only the frontier;
-    (start, current) pairs that were visited don't go on, so cycles end, and pairs met
-    by several paths count once. Lineage is cut in the shared folder every round.
+    A final id is one that isn't changed any more. Steps are doubled every round: a pair
+    (start, now) is as many changes long as the pairs it is joined with, until it ends
+    in a final id. So a chain of n changes takes log2(n) rounds, and an id that changes into
+    one other is one row all the while. A round that ends no further pair ends the
+    search, exactly: were there a longer chain, its last part would have ended in that
+    round. Ids that only go round in a circle have no final id and no row. Null ids and
+    ids changed into themselves are no changes. Lineage is cut in the shared folder
+    every round.
     """
     edges = changes.select(F.col(f"`{old}`").alias("a"), F.col(f"`{new}`").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL AND a != b").distinct()
-    ends = edges.select(F.col("b").alias("e")).distinct().join(edges.select(F.col("a").alias("e")).distinct(), "e", "left_anti")
-    seen = durable(edges.select(F.col("a").alias("start"), F.col("b").alias("now")))
-    frontier = seen
-    for _ in range(most):
-        step = frontier.join(edges, F.col("now") == F.col("a")).select("start", F.col("b").alias("now")).distinct()
-        frontier = durable(step.join(seen, ["start", "now"], "left_anti"))
-        if frontier.isEmpty():
-            break
-        seen = seen.unionByName(frontier)
-    return seen.join(ends, F.col("now") == F.col("e"), "left_semi").select(F.col("start").alias(old), F.col("now").alias(new)).distinct()
+    going = edges.select(F.col("a").alias("e")).distinct().withColumn("__on", F.lit(True))
+    state = durable(edges.join(going, F.col("b") == F.col("e"), "left").select(F.col("a").alias("start"), F.col("b").alias("now"), F.col("__on").isNull().alias("done")))
+    ended = state.filter("done").count()
+    while True:
+        far = state.select(F.col("start").alias("mid"), F.col("now").alias("next"), F.col("done").alias("end"))
+        step = state.filter("NOT done").join(far, F.col("now") == F.col("mid")).select("start", F.col("next").alias("now"), F.col("end").alias("done"))
+        state = durable(state.filter("done").unionByName(step).distinct())
+        before, ended = ended, state.filter("done").count()
+        if ended == before:
+            return state.filter("done").select(F.col("start").alias(old), F.col("now").alias(new))
+
+
+def object_chain(genes: DataFrame, transcripts: DataFrame, translations: DataFrame) -> DataFrame:
+    """Names of genes beside those of their transcripts and of these' translations: (gene,
+    transcript, translation). Tables as in a database dump (gene_id, transcript_id, stable_id …);
+    transcripts without a gene or a translation are left out."""
+    g = genes.select("gene_id", F.col("stable_id").alias("gene"))
+    t = transcripts.select("gene_id", "transcript_id", F.col("stable_id").alias("transcript"))
+    p = translations.select("transcript_id", F.col("stable_id").alias("translation"))
+    return g.join(t, "gene_id").join(p, "transcript_id").select("gene", "transcript", "translation")
+
+
+def xref_chain(databases: DataFrame, xrefs: DataFrame, objects: DataFrame, identities: DataFrame, ontologies: DataFrame) -> DataFrame:
+    """External references with their database and their object, of either kind of detail.
+
+    An object reference has a row for each of its identities and each of its ontology
+    terms: (object_xref_id, ensembl_id, ensembl_object_type, xref_id, dbprimary_acc,
+    display_label, db_name, xref_identity, ensembl_identity, linkage_type), the columns of
+    the other kind null. References without either detail are left out.
+    """
+    x = databases.select("external_db_id", "db_name").join(xrefs.select("xref_id", "external_db_id", "dbprimary_acc", "display_label"), "external_db_id")
+    o = x.join(objects.select("object_xref_id", "ensembl_id", "ensembl_object_type", "xref_id"), "xref_id")
+    i = identities.select("object_xref_id", "xref_identity", "ensembl_identity", F.lit(None).cast("string").alias("linkage_type"))
+    t = ontologies.select("object_xref_id", F.lit(None).cast("int").alias("xref_identity"), F.lit(None).cast("int").alias("ensembl_identity"), "linkage_type")
+    return o.join(i.unionByName(t), "object_xref_id").drop("external_db_id")
 
 
 def dispatch_xrefs(refs: DataFrame, kind: str, targets: Mapping[str, tuple[DataFrame, str]], ref: str, strict: bool = True) -> DataFrame:
@@ -84,7 +114,7 @@ def utr_class(cds: DataFrame, utr: DataFrame, transcript: str, start: str, end:
 
     UTRs that overlap the CDS, or of transcripts without one, have a null class.
     """
-    span = cds.groupBy(transcript).agg(F.min(start).alias("__lo"), F.max(start).alias("__hi"))
+    span = cds.groupBy(transcript).agg(F.min(start).alias("__lo"), F.max(end).alias("__hi"))
     met = utr.join(span, transcript, "left")
     before, after = F.col(end) < F.col("__lo"), F.col(start) > F.col("__hi")
     plus = F.col(strand) != "-"

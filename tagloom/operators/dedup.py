@@ -39,16 +39,16 @@ def exact_dedup(df: DataFrame, key: Sequence[str], flags: str, length: str, tie:
     keys = [F.col(f"`{k}`") for k in key]
     prio, value = priority_score(F.coalesce(F.col(f"`{flags}`"), F.lit(0))), F.coalesce(F.col(f"`{length}`"), F.lit(-1))
     rows = df.select(*keys, *[F.col(f"`{t}`") for t in tie], F.coalesce(F.col(f"`{flags}`"), F.lit(0)).alias("__f"), value.alias("__v"), prio.alias("__p"))
-    # sums per priority, and of these the greatest: two small partial aggregates
-    per = rows.groupBy(*keys, "__p").agg(F.count("*").alias("__n"), F.sum("__v").alias("__s"))
-    top = per.groupBy(*keys).agg(F.sum("__n").alias("clones"), F.max(F.struct("__p", "__n", "__s")).alias("__t"))
-    best = top.select(*keys, "clones", F.col("__t.__p").alias("__p1"), F.col("__t.__n").alias("__n1"), (F.col("__t.__s") / F.col("__t.__n")).alias("__mean"))
-    named = best.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(key)], "clones", "__p1", "__n1", "__mean")
-    met = rows.join(named, _same(key) & (F.col("__p") == F.col("__p1")))
-    order = F.struct(F.abs(F.col("__v") - F.col("__mean")).alias("d"), *[F.col(f"`{t}`").alias(f"t{i}") for i, t in enumerate(tie)])
-    rep = met.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{t}`") for t in tie], "__f", "__v", "__n1", "__mean", "clones"), order).alias("r"))
-    out = F.when(F.col("r.__n1") == 1, F.col("r.__v")).when(F.col("r.__v") < 0, -1).otherwise(half_away(F.col("r.__mean")))
-    return rep.select(*keys, *[F.col(f"r.{t}").alias(t) for t in tie], F.col("r.__f").alias(flags), out.cast("int").alias(length), F.col("r.clones").alias("clones"))
+    # one pass: a row per key, priority and length, of which there are few however many tags a key has
+    order = F.struct(*[F.col(f"`{t}`").alias(f"t{i}") for i, t in enumerate(tie)])
+    small = rows.groupBy(*keys, "__p", "__v").agg(F.count("*").alias("__n"), F.min(F.struct(order.alias("t"), F.col("__f").alias("f"))).alias("__r"))
+    per = small.groupBy(*keys, "__p").agg(F.sum("__n").alias("__n"), F.sum(F.col("__n") * F.col("__v")).alias("__s"), F.collect_list(F.struct(F.col("__v").alias("v"), F.col("__r").alias("r"))).alias("__l"))
+    top = per.groupBy(*keys).agg(F.sum("__n").alias("clones"), F.max_by(F.struct("__n", "__s", "__l"), "__p").alias("__t"))
+    best = top.select(*keys, "clones", F.col("__t.__n").alias("__n1"), (F.col("__t.__s") / F.col("__t.__n")).alias("__mean"), F.col("__t.__l").alias("__l"))
+    near = F.array_min(F.transform("__l", lambda x: F.struct(F.abs(x["v"] - F.col("__mean")).alias("d"), x["r"]["t"].alias("t"), x["v"].alias("v"), x["r"]["f"].alias("f"))))
+    rep = best.withColumn("__x", near)
+    out = F.when(F.col("__n1") == 1, F.col("__x.v")).when(F.col("__x.v") < 0, -1).otherwise(half_away(F.col("__mean")))
+    return rep.select(*keys, *[F.col(f"__x.t.t{i}").alias(t) for i, t in enumerate(tie)], F.col("__x.f").alias(flags), out.cast("int").alias(length), "clones")
 
 
 def _same(key: Sequence[str]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import flags as FL
 from tagloom.functions import seq as S
 from tagloom.operators.wstats import geometric_mean_ci, weighted_quantiles
+from tagloom.session import durable
 
 #: The length windows (from, up to but not including).
 LENGTH_WINDOWS = ((0, 1), (1, 4), (1, 6), (1, 16), (5, 11), (5, 16), (5, 26), (8, 16), (8, 26), (16, 26), (26, 41), (41, 100))
@@ -59,10 +60,12 @@ def gene_statistics(cube: DataFrame, short: int = 5, confidence: float = 0.95) -
     Counts come from the U cube; average_<letter>_<window> is the mean number of
     modifications of the window's tags, null where it has none.
     """
-    u = F.col("modtype") == "U"
-    canonical = F.col("tailtype") == "canonical"
-    n, length = F.col("n"), F.col("length")
+    # one pass over the cube: what is left has a row per gene, letter, kind of tail and length
+    by = cube.groupBy("gene", "modtype", "tailtype", "length").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("modcount")).alias("mods"))
+    by = durable(by)
+    u, canonical, n, length = F.col("modtype") == "U", F.col("tailtype") == "canonical", F.col("n"), F.col("length")
     total = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
+    mean = lambda cond: F.try_divide(F.sum(F.when(cond, F.col("mods"))), F.sum(F.when(cond, n)))
     aggs = [
         total(u & canonical & (length >= short)).alias("polyA_tag_count"),
         total(u & canonical & (length < short)).alias("nonpolyA_tag_count"),
@@ -72,14 +75,10 @@ def gene_statistics(cube: DataFrame, short: int = 5, confidence: float = 0.95) -
     for (a, b), name in zip(LENGTH_WINDOWS, window_names()):
         inside = canonical & (length >= a) & (length < b)
         aggs.append(total(u & inside).alias(f"polyA_tag_count_{name}"))
-        for letter in "UGC":
-            own = (F.col("modtype") == letter) & inside
-            aggs.append(F.try_divide(F.sum(F.when(own, n * F.col("modcount"))), F.sum(F.when(own, n))).alias(f"average_{letter}_{name}"))
-    for letter in "UGC":
-        own = (F.col("modtype") == letter) & ~canonical
-        aggs.append(F.try_divide(F.sum(F.when(own, n * F.col("modcount"))), F.sum(F.when(own, n))).alias(f"average_{letter}_noncanonical"))
-    wide = cube.groupBy("gene").agg(*aggs)
-    lengths = cube.filter(u & canonical).groupBy("gene", "length").agg(F.sum("n").alias("n"))
+        aggs += [mean((F.col("modtype") == letter) & inside).alias(f"average_{letter}_{name}") for letter in "UGC"]
+    aggs += [mean((F.col("modtype") == letter) & ~canonical).alias(f"average_{letter}_noncanonical") for letter in "UGC"]
+    wide = by.groupBy("gene").agg(*aggs)
+    lengths = by.filter(u & canonical).select("gene", "length", "n")
     means = geometric_mean_ci(lengths, ["gene"], "length", "n", short, confidence).select("gene", F.col("mean").alias("polyA_mean"), F.col("ci_lo").alias("polyA_mean_ci_lo"), F.col("ci_hi").alias("polyA_mean_ci_hi"))
     medians = weighted_quantiles(lengths, ["gene"], "length", "n", (0.5,)).select("gene", F.col("q50").alias("polyA_median"))
     return wide.join(means, "gene", "left").join(medians, "gene", "left")

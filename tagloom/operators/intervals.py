@@ -47,30 +47,70 @@ def terminal_base(start: Column, end: Column, strand: Column) -> tuple[Column, C
 def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, gap: int = 0, stretch: int = 1 << 22) -> DataFrame:
     """Overlapping or book-ended (or at most ``gap`` apart) intervals of a key merged to one.
 
-    Two levels: within stretches of places first, which leaves few intervals, then over
-    the whole key. n counts the merged ones. Empty or reversed intervals are left out.
+    Intervals are merged within stretches of places. What reaches over a stretch's end is
+    carried as one number per stretch, the farthest end so far, so that no window spans
+    the intervals of a whole key. n counts the merged ones. Empty or reversed intervals
+    are left out.
     """
-    ks = [F.col(f"`{k}`") for k in keys]
-    rows = df.select(*ks, F.col(f"`{start}`").cast("bigint").alias("start"), F.col(f"`{end}`").cast("bigint").alias("end")).filter("start < end")
-    rows = rows.groupBy(*ks, "start", "end").agg(F.count("*").alias("n"))  # equal intervals would have no order
-
-    def level(rows: DataFrame, part: Sequence) -> DataFrame:
-        w = W.partitionBy(*part).orderBy("start", "end")
-        far = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-        marked = rows.withColumn("__new", F.when(far.isNull() | (F.col("start") > far + gap), 1).otherwise(0)).withColumn("__i", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-        return marked.groupBy(*part, "__i").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
-
-    near = level(rows.withColumn("__s", F.floor(F.col("start") / stretch)), [*ks, F.col("__s")])
-    return level(near.select(*ks, "start", "end", "n"), ks).select(*ks, "start", "end", "n")
-
-
-def group_consecutive(df: DataFrame, keys: Sequence[str], value: str, width: int = 1) -> DataFrame:
-    """Runs of values that follow each other at steps of at most ``width``: first, last, n."""
-    ks = [F.col(f"`{k}`") for k in keys]
-    w = W.partitionBy(*ks).orderBy("v")
-    rows = df.select(*ks, F.col(f"`{value}`").alias("v")).filter("v IS NOT NULL").distinct()
-    marked = rows.withColumn("__n", F.coalesce((F.col("v") - F.lag("v").over(w) > width).cast("int"), F.lit(0))).withColumn("__i", F.sum("__n").over(w))
-    return marked.groupBy(*ks, "__i").agg(F.min("v").alias("first"), F.max("v").alias("last"), F.count("*").alias("n")).drop("__i")
+    # one struct as key: null parts are equal in it, and the join below keeps the partitioning
+    rows = df.select(F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]).alias("__k"), F.col(f"`{start}`").cast("bigint").alias("start"), F.col(f"`{end}`").cast("bigint").alias("end")).filter("start < end")
+    rows = rows.withColumn("__s", F.floor(F.col("start") / stretch)).groupBy("__k", "__s", "start", "end").agg(F.count("*").alias("n"))  # equal intervals would have no order
+    w = W.partitionBy("__k", "__s").orderBy("start", "end")
+    far = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    marked = rows.withColumn("__new", F.when(far.isNull() | (F.col("start") > far + gap), 1).otherwise(0)).withColumn("__i", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    near = marked.groupBy("__k", "__s", "__i").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
+    # per stretch, a row each: the farthest end before it, and where the last interval that was begun before it starts
+    before = W.partitionBy("__k").orderBy("__s").rowsBetween(W.unboundedPreceding, -1)
+    ends = near.groupBy("__k", "__s").agg(F.max("end").alias("__far"), F.max("start").alias("__last")).withColumn("__carry", F.max("__far").over(before))
+    begun = F.when(F.col("__carry").isNull() | (F.col("__last") > F.col("__carry") + gap), F.col("__last"))
+    ends = ends.withColumn("__open", F.last(begun, True).over(before)).filter("__carry IS NOT NULL").select("__k", "__s", "__carry", "__open")
+    # what starts within reach of the end carried in goes on with the interval that was open there
+    goes_on = F.coalesce(F.col("start") <= F.col("__carry") + gap, F.lit(False))
+    met = near.join(ends, ["__k", "__s"], "left").withColumn("__g", F.when(goes_on, F.col("__open")).otherwise(F.col("start")))
+    out = met.groupBy("__k", "__g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
+    return out.select(*[F.col(f"__k.k{i}").alias(k) for i, k in enumerate(keys)], "start", "end", "n")
+
+
+def group_consecutive(df: DataFrame, keys: Sequence[str], value: str, width: int = 1, stretch: int = 1 << 16) -> DataFrame:
+    """Runs of whole values that follow each other at steps of at most ``width``: first, last, n distinct values.
+
+    As intervals [v, v + 1) at most ``width - 1`` apart, merged by stretches.
+    """
+    rows = df.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{value}`").alias("__v")).filter("__v IS NOT NULL").distinct()
+    kind = df.schema[value].dataType
+    out = merge_intervals(rows.withColumn("__w", F.col("__v") + 1), keys, "__v", "__w", width - 1, stretch)
+    return out.select(*[F.col(f"`{k}`") for k in keys], F.col("start").cast(kind).alias("first"), (F.col("end") - 1).cast(kind).alias("last"), "n")
+
+
+def aligned_blocks(start: Column, cigar: Column) -> Column:
+    """array<struct<start, end>> of the parts of an alignment between its N gaps, 0-based.
+
+    M, D, = and X reach over the reference, I, S, H and P don't. A part without reference
+    is left out; null or empty alignments have none.
+    """
+    steps = F.regexp_extract_all(cigar, F.lit("[0-9]+[MDNX=]"), F.lit(0))
+
+    def walk(acc: Column, step: Column) -> Column:
+        n = F.substring(step, F.lit(1), F.length(step) - 1).cast("bigint")
+        skips = F.endswith(step, F.lit("N"))
+        # the open part is [s, at): a gap closes it
+        closed = F.when(skips & (acc["at"] > acc["s"]), F.concat(acc["done"], F.array(F.struct(acc["s"].alias("start"), acc["at"].alias("end"))))).otherwise(acc["done"])
+        return F.struct(closed.alias("done"), F.when(skips, acc["at"] + n).otherwise(acc["s"]).alias("s"), (acc["at"] + n).alias("at"))
+
+    def finish(acc: Column) -> Column:
+        return F.when(acc["at"] > acc["s"], F.concat(acc["done"], F.array(F.struct(acc["s"].alias("start"), acc["at"].alias("end"))))).otherwise(acc["done"])
+
+    first = start.cast("bigint")
+    begin = F.struct(F.array().cast("array<struct<start:bigint,end:bigint>>").alias("done"), first.alias("s"), first.alias("at"))
+    return F.aggregate(steps, begin, walk, finish)
+
+
+def block_overlap_join(reads: DataFrame, features: DataFrame, keys: Sequence[str], read: Sequence[str], start: str, cigar: str, columns: Sequence[str]) -> DataFrame:
+    """Distinct (``read`` columns, ``columns`` of the features) of spliced reads and the features that one of their
+    parts overlaps: a feature inside a read's gap isn't met. Features have start and end."""
+    parts = reads.select(*keys, *read, F.explode(aligned_blocks(F.col(f"`{start}`"), F.col(f"`{cigar}`"))).alias("__b")).select(*keys, *read, "__b.start", "__b.end")
+    out = overlap_join(parts, features.select(*keys, *columns, "start", "end"), keys)
+    return out.select(*read, *[F.col(f"`{c}_r`").alias(c) for c in columns]).distinct()
 
 
 def _level(start: Column, end: Column) -> Column:

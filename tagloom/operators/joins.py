@@ -8,20 +8,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def match_groups(tables: Sequence[DataFrame], key: str, columns: Sequence[Sequence[str]], keep: str = "full") -> DataFrame:
-    """(key, g0, g1, …): per key the rows of each table as an array of structs, sorted; empty
+def match_groups(tables: Sequence[DataFrame], key: str, columns: Sequence[Sequence[str]], keep: str = "full", size: int = 10_000) -> DataFrame:
+    """(key, part, g0, g1, …): per key the rows of each table as an array of structs, sorted; empty
     where a table lacks the key.
 
-    The number of rows per key is the caller's bound; for keys that may be hot, count or
-    semi-join instead. ``keep`` is full, inner or first (keys of the first table).
+    A key with up to ``size`` rows in each table is one row, part 0. A key with more comes
+    in several parts of about that size, into which its rows go by a hash, so that no row
+    gathers an unbounded group; the parts of a key are to be read together. Null keys are
+    left out. ``keep`` is full, inner or first (keys of the first table), by key.
     """
-    out = None
-    for i, (df, cols) in enumerate(zip(tables, columns)):
-        one = df.groupBy(F.col(key).alias("__key")).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(f"g{i}"))
+    key_ = F.col(f"`{key}`")
+    counts = None
+    for i, df in enumerate(tables):
+        one = df.filter(key_.isNotNull()).groupBy(key_.alias("__key")).agg(F.count("*").alias(f"__n{i}"))
         how = {"full": "full_outer", "inner": "inner", "first": "left"}[keep]
-        out = one if out is None else out.join(one, "__key", how)
+        counts = one if counts is None else counts.join(one, "__key", how)
+    most = F.greatest(*[F.coalesce(f"__n{i}", F.lit(0)) for i in range(len(tables))], F.lit(0))
+    parts = counts.select("__key", F.ceil(most / size).cast("int").alias("__p"))
+    out = parts.select("__key", F.explode(F.sequence(F.lit(0), F.col("__p") - 1)).alias("part"))
+    large = parts.filter("__p > 1").withColumnRenamed("__key", "__large")
+    for i, (df, cols) in enumerate(zip(tables, columns)):
+        row = F.struct(*cols)
+        rows = df.filter(key_.isNotNull()).select(key_.alias("__key"), row.alias("__row")).join(large, F.col("__key") == F.col("__large"), "left")
+        part = F.coalesce(F.pmod(F.xxhash64("__row"), F.col("__p")), F.lit(0)).cast("int")
+        one = rows.groupBy("__key", part.alias("part")).agg(F.sort_array(F.collect_list("__row")).alias(f"g{i}"))
+        out = out.join(one, ["__key", "part"], "left")
     empty = [F.coalesce(f"g{i}", F.array().cast(out.schema[f"g{i}"].dataType)).alias(f"g{i}") for i in range(len(tables))]
-    return out.select(F.col("__key").alias(key), *empty)
+    return out.select(F.col("__key").alias(key), "part", *empty)
 
 
 def count_groups(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

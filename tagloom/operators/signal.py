@@ -169,18 +169,24 @@ def _density(bins: np.ndarray, n: np.ndarray, grid: np.ndarray, factor: float) -
 
 def equal_odds(pos: np.ndarray, n_pos: np.ndarray, neg: np.ndarray, n_neg: np.ndarray, bins: int = 1000, factor: float = 0.1, floor: float = 0.001, ends: Sequence[float] = (0.4, 0.6)) -> float | None:
     """Score at which both classes are equally likely: root of the log ratio of two density
-    estimates (floored), by bisection on (0, end) for each end in turn; None if there is none."""
-    x = np.arange(0, bins + 1, max(1, bins // 250)) / bins
-    a, b = _density(pos / bins, n_pos, x, factor), _density(neg / bins, n_neg, x, factor)
-    ratio = np.log(np.maximum(floor, a) / np.maximum(floor, b))
-    at = lambda t: float(np.interp(t, x, ratio))
+    estimates (floored), by bisection on (0, end) for each end in turn; None if there is
+    none. The densities are evaluated at every step, from all bins."""
+
+    def at(t: float) -> float:
+        a, b = (float(_density(x / bins, n, np.array([t]), factor)[0]) for x, n in ((pos, n_pos), (neg, n_neg)))
+        return math.log(max(floor, a) / max(floor, b))
+
     for end in ends:
         lo, hi = 0.0, end
-        if at(lo) * at(hi) >= 0:
+        low = at(lo)
+        if low * at(hi) >= 0:
             continue
-        for _ in range(100):
+        while hi - lo > 1e-12:
             mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if at(lo) * at(mid) > 0 else (lo, mid)
+            if low * at(mid) > 0:
+                lo = mid
+            else:
+                hi = mid
         if 0 < lo < end:
             return lo
     return None

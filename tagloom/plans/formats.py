@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,23 +10,22 @@ from pyspark.sql import functions as F
 from tagloom import sinks
 from tagloom.functions import seq as S
 from tagloom.plans.common import dna, dna_sql
-from tagloom.session import table
+from tagloom.session import fresh_folder, table
 from tagloom.sources import text
 from tagloom.streaming import tags as T
 
 
 def _folder(spark: SparkSession) -> str:
-    """A folder that all executors share, where one is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/tagloom-{spark.sparkContext.applicationId}" if shared else tempfile.mkdtemp(prefix="tagloom-formats-")
+    """A new folder that all executors share: no two calls have the same."""
+    return fresh_folder(spark, "formats")
 
 
 def q_tsv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """taginfo written as text and read with its schema: empty texts stay empty."""
+    """taginfo written as text and read with its schema: empty texts stay empty, null lengths null; null texts come back empty."""
     path = f"{_folder(spark)}/taginfo"
-    t = table(spark, folder, "taginfo").filter("mods IS NOT NULL AND polya_len IS NOT NULL")
+    t = table(spark, folder, "taginfo")
     sinks.write_tsv(t.select("tile", "cluster", "pflags", "polya_len", "mods", "clones"), path)
-    return text.taginfo(spark, path).groupBy("tile", "mods").agg(F.count("*").alias("n"), F.sum("polya_len").alias("total_len"))
+    return text.taginfo(spark, path).groupBy("tile", "mods").agg(F.count("*").alias("n"), F.count("polya_len").alias("measured"), F.sum("polya_len").alias("total_len"))
 
 
 def q_fastq_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,11 +113,14 @@ def q_stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for k, v in globals().items() if k.startswith("q_")}
 
 ORACLE: dict[str, str] = {
-    "q_tsv_round_trip": "SELECT tile, mods, count(*) AS n, sum(polya_len)::BIGINT AS total_len FROM taginfo WHERE mods IS NOT NULL AND polya_len IS NOT NULL GROUP BY ALL",
+    "q_tsv_round_trip": "SELECT tile, coalesce(mods, '') AS mods, count(*) AS n, count(polya_len) AS measured, sum(polya_len)::BIGINT AS total_len FROM taginfo GROUP BY ALL",
     "q_fastq_round_trip": f"SELECT format('t1:{{:08d}}', o_orderkey) AS name, {dna_sql('o_orderkey', 30)} AS seq, translate({dna_sql('o_orderkey', 30)},'ACGT','@I5+') AS qual FROM orders",
     "q_sam_round_trip": "SELECT tag_id AS cluster, rname, pos, umi_rep AS umi, (pos % 7)::INT AS za, 's1' AS rg FROM tagcluster WHERE rname IS NOT NULL AND pos IS NOT NULL AND umi_rep IS NOT NULL AND umi_rep <> '' AND strand IS DISTINCT FROM '-' AND tag_id % 60 >= 15",
     "q_partitioned_scan": "SELECT sample, count(*) AS n FROM taginfo WHERE tile = 'a1107' GROUP BY sample",
-    "q_fetch_sequences": f"WITH g AS (SELECT string_agg({dna_sql('p_partkey', 16)}, '' ORDER BY p_partkey) AS s FROM part WHERE p_partkey < 100), r AS (SELECT p_partkey AS name, substr(s, greatest(p_partkey - 5, 0) + 1, p_partkey + 30 - greatest(p_partkey - 5, 0)) AS q FROM part, g WHERE p_partkey < 1000) SELECT name, CASE WHEN name % 2 = 0 THEN q ELSE translate(reverse(q),'ACGT','TGCA') END AS seq FROM r",
+    "q_fetch_sequences": f"WITH p AS (SELECT p_partkey AS k, {dna_sql('p_partkey', 16)} AS s FROM part), r AS (SELECT k AS name, greatest(k - 5, 0) AS a, k + 30 AS b FROM p), c AS (SELECT name, a, b, unnest(range(a // 16, (b - 1) // 16 + 1)) AS n FROM r), q AS (SELECT name, string_agg(substr(s, (greatest(a - n * 16, 0) + 1)::INT, (least(b - n * 16, 16) - greatest(a - n * 16, 0))::INT), '' ORDER BY n) AS q FROM c JOIN p ON p.k = n GROUP BY name) SELECT name, CASE WHEN name % 2 = 0 THEN q ELSE translate(reverse(q),'ACGT','TGCA') END AS seq FROM q",
     "q_stream_first_seen": "SELECT event_id, any_value(user_id) AS user_id FROM events GROUP BY event_id",
+    # windows and sessions that end before the watermark, an hour behind the last event, are out
+    "q_stream_windows": "WITH e AS (SELECT date_trunc('day', ts) AS day, event_type FROM events), m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events) SELECT strftime(day, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM e, m WHERE day + INTERVAL 1 DAY <= mark GROUP BY ALL",
+    "q_stream_sessions": "WITH e AS (SELECT user_id, ts, coalesce((ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 30 MINUTE)::INT, 1) AS new FROM events), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM e), s AS (SELECT user_id, g, count(*) AS n, max(ts) AS last FROM g GROUP BY ALL), m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events) SELECT user_id, count(*) AS sessions, sum(n)::BIGINT AS n FROM s, m WHERE last + INTERVAL 30 MINUTE <= mark GROUP BY user_id",
     "q_stream_capped": "SELECT user_id::VARCHAR AS bucket, least(count(*),3) AS n FROM events GROUP BY user_id",
 }

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import dedup as D
 from tagloom.operators import intervals as I
-from tagloom.session import table
+from tagloom.operators import sorting as SO
+from tagloom.session import durable, table
 
 KEY, TIE = ["grp", "umi"], ["qname", "row_no"]
 
@@ -23,13 +24,13 @@ def q_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_dup_trace(spark: SparkSession, folder: str) -> DataFrame:
-    tags = _tags(spark, folder).filter("pflags IS NOT NULL")
+    tags = _tags(spark, folder)
     return D.dedup_trace(tags, D.exact_dedup(tags, KEY, "pflags", "polya_len_1", TIE), KEY, "pflags", "polya_len_1", ["row_no"]).select("row_no", "trace")
 
 
 def q_dedup_bypass(spark: SparkSession, folder: str) -> DataFrame:
     """Spike-ins pass as they are, all other samples are deduplicated by tile and cluster."""
-    t = table(spark, folder, "taginfo").filter("pflags IS NOT NULL").withColumn("imported", F.date_format("imported_at", "yyyy-MM-dd HH:mm:ss"))
+    t = table(spark, folder, "taginfo").withColumn("imported", F.date_format("imported_at", "yyyy-MM-dd HH:mm:ss"))
     out = D.dedup_with_bypass(t, F.col("sample").startswith("spike"), ["sample", "tile", "cluster"], "pflags", "polya_len", ["imported"])
     return out.groupBy("sample").agg(F.count("*").alias("n"), F.sum("clones").alias("clones"), F.sum("polya_len").alias("total_len"))
 
@@ -51,6 +52,46 @@ def q_approx_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return D.merge_clusters(m, "head", "flags", "ndups", "len", "tail", "tag_id")
 
 
+def q_leader_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What leader clusters promise, counted: tags, followers beyond reach or edits of their head (none),
+    and tags that an earlier head, or as a head any head before them, would have taken (none)."""
+    t = table(spark, folder, "tagcluster").withColumn("letters", F.upper(F.regexp_replace("umi_rep", "[^A-Za-z]", ""))).filter("letters != '' AND rname IS NOT NULL AND pos IS NOT NULL")
+    c = durable(D.leader_clusters(t, "rname", "pos", "letters", "tag_id"))
+    tag = t.select("tag_id", "rname", "pos", "letters")
+    h = tag.join(c.select("head").distinct(), F.col("tag_id") == F.col("head"), "left_semi").select(F.col("tag_id").alias("h"), F.col("rname").alias("hr"), F.col("pos").alias("hp"), F.col("letters").alias("hl"))
+    m = tag.join(c, F.col("tag_id") == F.col("row"))
+    own = m.join(h, F.col("head") == F.col("h"))
+    near = (F.col("pos") - F.col("hp")).between(0, 4) & (F.levenshtein("letters", "hl", 2) >= 0)
+    far = own.agg(F.count("*").alias("tags"), F.count_if(~(near & (F.col("rname") == F.col("hr")))).alias("beyond"))
+    place = own.select("tag_id", "rname", "pos", "letters", "head", F.col("hp").alias("own_pos"), F.explode(F.array((F.floor(F.col("pos") / 5)), (F.floor(F.col("pos") / 5) - 1))).alias("b"))
+    earlier = (F.col("hp") < F.col("own_pos")) | ((F.col("hp") == F.col("own_pos")) & (F.col("h") < F.col("head")))
+    missed = place.join(h.withColumn("hb", F.floor(F.col("hp") / 5)), (F.col("rname") == F.col("hr")) & (F.col("b") == F.col("hb")) & near & earlier)
+    return far.withColumn("missed", F.lit(0).cast("bigint")).unionByName(missed.agg(F.lit(0).cast("bigint").alias("tags"), F.lit(0).cast("bigint").alias("beyond"), F.count("*").alias("missed"))).agg(*[F.sum(x).alias(x) for x in ("tags", "beyond", "missed")])
+
+
+def q_approx_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Merged clusters keep all clones of the tags they were made of."""
+    return q_approx_dedup(spark, folder).agg(F.sum("clones").alias("clones"), F.count_if(F.col("id").isNull()).alias("nameless"))
+
+
+def q_sorted_places(spark: SparkSession, folder: str) -> DataFrame:
+    """All tags in order of sequence, position and id, numbered: a full sort by several keys."""
+    t = table(spark, folder, "tagcluster").select("tag_id", "rname", "pos")
+    return SO.numbered(t, [F.col("rname").asc_nulls_first(), F.col("pos").asc_nulls_first(), F.col("tag_id")])
+
+
+def _spliced(spark: SparkSession, folder: str) -> DataFrame:
+    """Made-up spliced alignments at the tags' places."""
+    k = F.col("tag_id")
+    cigar = F.concat(F.pmod(k, F.lit(5)).cast("string"), F.lit("S"), (F.lit(20) + F.pmod(k, F.lit(11))).cast("string"), F.lit("M"), (F.lit(100) + F.pmod(k, F.lit(5000))).cast("string"), F.lit("N9M2D"), (F.lit(4) + F.pmod(k, F.lit(3))).cast("string"), F.lit("M"))
+    return table(spark, folder, "tagcluster").filter("pos IS NOT NULL").select("tag_id", F.col("rname").alias("seqname"), "strand", F.col("pos").cast("bigint").alias("at"), cigar.alias("cigar"))
+
+
+def q_block_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Spliced reads and the annotation lines of their strand that one of their parts overlaps."""
+    return I.block_overlap_join(_spliced(spark, folder), _spans(spark, folder), ["seqname", "strand"], ["tag_id"], "at", "cigar", ["line_no"])
+
+
 def _spans(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "gtf").filter("start_pos IS NOT NULL AND end_pos IS NOT NULL").select("line_no", "seqname", F.lower("feature").alias("feature"), "strand", (F.col("start_pos") - 1).cast("bigint").alias("start"), F.col("end_pos").cast("bigint").alias("end"))
 
@@ -82,7 +123,8 @@ def q_interval_semi(spark: SparkSession, folder: str) -> DataFrame:
     ends = s.filter("feature = 'exon'").select("seqname", "strand", a.alias("s"), b.alias("e")).filter("s >= 0")
     merged = I.merge_intervals(ends, ["seqname", "strand"], "s", "e", 0)
     lo, hi = I.slop(F.col("start"), F.col("end"), F.col("strand"), 300, 300)
-    sites = I.merge_intervals(merged.select("seqname", "strand", lo.alias("s"), hi.alias("e")), ["seqname", "strand"], "s", "e", 0)
+    # the join reads its inputs twice, so the merged sites are made once
+    sites = durable(I.merge_intervals(merged.select("seqname", "strand", lo.alias("s"), hi.alias("e")), ["seqname", "strand"], "s", "e", 0))
     t = s.filter("feature = 'transcript'").select("line_no", "seqname", "strand", a.alias("start"), b.alias("end")).filter("start >= 0 AND start < end")
     return I.overlap_join(t, sites.select("seqname", "strand", "start", "end"), ["seqname", "strand"], how="left_semi").select("line_no")
 
@@ -114,9 +156,15 @@ def _merge_sql(source: str, name: str) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "q_leader_check": "SELECT count(*) AS tags, 0::BIGINT AS beyond, 0::BIGINT AS missed FROM tagcluster WHERE regexp_matches(umi_rep, '[A-Za-z]') AND rname IS NOT NULL AND pos IS NOT NULL",
+    "q_approx_check": "SELECT sum(coalesce(umi_rep_ndups, 1))::BIGINT AS clones, 0::BIGINT AS nameless FROM tagcluster WHERE regexp_matches(umi_rep, '[A-Za-z]') AND rname IS NOT NULL AND pos IS NOT NULL",
+    "q_sorted_places": "SELECT tag_id, rname, pos, row_number() OVER (ORDER BY rname NULLS FIRST, pos NULLS FIRST, tag_id) - 1 AS place FROM tagcluster",
+    "q_block_join": f"""WITH {_SPANS}, r AS (SELECT tag_id, rname, strand, pos::BIGINT AS p, 20 + tag_id % 11 AS a, 100 + tag_id % 5000 AS g, 15 + tag_id % 3 AS z FROM tagcluster WHERE pos IS NOT NULL),
+b AS (SELECT tag_id, rname, strand, p AS st, p + a AS en FROM r UNION ALL SELECT tag_id, rname, strand, p + a + g, p + a + g + z FROM r)
+SELECT DISTINCT tag_id, line_no FROM b JOIN s ON rname = seqname AND b.strand = s.strand AND b.st < s.en AND s.st < b.en""",
     "q_exact_dedup": _DEDUP.replace("FILTERED", "true") + "SELECT grp, umi, qname, row_no, f AS pflags, final AS polya_len_1, clones FROM d",
-    "q_dup_trace": _DEDUP.replace("FILTERED", "pflags IS NOT NULL") + "SELECT m.row_no, (CASE WHEN d.row_no = m.row_no THEN d.final WHEN m.pr < m.top THEN -3 ELSE -2 END)::INT AS trace FROM m JOIN d ON m.grp IS NOT DISTINCT FROM d.grp AND m.umi IS NOT DISTINCT FROM d.umi",
-    "q_dedup_bypass": f"""WITH t AS (SELECT sample, tile, cluster, pflags AS f, coalesce(polya_len,-1) AS v, polya_len, imported_at FROM taginfo WHERE pflags IS NOT NULL),
+    "q_dup_trace": _DEDUP.replace("FILTERED", "true") + "SELECT m.row_no, (CASE WHEN d.row_no = m.row_no THEN d.final WHEN m.pr < m.top THEN -3 ELSE -2 END)::INT AS trace FROM m JOIN d ON m.grp IS NOT DISTINCT FROM d.grp AND m.umi IS NOT DISTINCT FROM d.umi",
+    "q_dedup_bypass": f"""WITH t AS (SELECT sample, tile, cluster, coalesce(pflags,0) AS f, coalesce(polya_len,-1) AS v, polya_len, imported_at FROM taginfo),
 p AS (SELECT *, {_P} AS pr, count(*) OVER (PARTITION BY sample, tile, cluster) AS clones FROM t WHERE NOT starts_with(sample,'spike')),
 m AS (SELECT *, max(pr) OVER (PARTITION BY sample, tile, cluster) AS top FROM p),
 a AS (SELECT *, avg(v) OVER (PARTITION BY sample, tile, cluster) AS mean, count(*) OVER (PARTITION BY sample, tile, cluster) AS n FROM m WHERE pr = top),

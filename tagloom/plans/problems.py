@@ -103,8 +103,7 @@ found AS (SELECT src_table, ref_field, row_no, strftime(num.loaded_at, '%Y-%m')
 
 # entries are matched whole here, instead of lifting quoted spans out first
 _ENTRY = r"""[^\s=;|]+(?:\s*=\s*|\s+)?(?:"(?:[^"\\]|\\.|"")*"|''(?:[^''\\]|\\.|'''')*''|[^;|]*)"""
-_P5 = (
-    r"""
+_ENTRIES = r"""
 WITH l AS (SELECT line_no, lower(feature) AS feature, loaded_at, regexp_extract_all(attribute, 'ENTRY') AS es FROM gtf WHERE attribute IS NOT NULL),
 e AS (SELECT line_no, feature, loaded_at, i, es[i] AS e FROM l, range(1, len(es) + 1) t(i)),
 r AS (SELECT *, lower(regexp_extract(e, '^([^\s=]+)', 1)) AS name, regexp_replace(regexp_extract(e, '^[^\s=]+(?:\s*=\s*|\s+)?(.*)$', 1), '\s+$', '') AS raw FROM e),
@@ -112,7 +111,14 @@ q AS (SELECT *, CASE WHEN length(raw) > 1 AND raw[1] IN ('"', '''') AND raw[1] =
 n AS (SELECT line_no, feature, loaded_at, i, name, CASE WHEN quote IS NULL THEN raw ELSE
   regexp_replace(replace(regexp_replace(substr(raw, 2, length(raw) - 2), '\\(["''])', '\1', 'g'), quote || quote, quote), '^\s+|\s+$', '', 'g') END AS value FROM q WHERE name <> '')
 """
-).replace("ENTRY", _ENTRY)
+
+
+def entries_sql(delimiters: str = ";|") -> str:
+    """SQL text of the entries of gtf.attribute, ending in the table n (line_no, feature, loaded_at, i, name, value)."""
+    return _ENTRIES.replace("ENTRY", _ENTRY.replace(";|", delimiters))
+
+
+_P5 = entries_sql()
 _LISTS = ", ".join(f"'{n}'" for n in LIST_NAMES)
 _NUMBERS = ", ".join(f"'{n}'" for n in NUMBER_NAMES)
 _ID = "CASE feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ENTITY_ID.items()) + " END"

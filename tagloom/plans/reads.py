@@ -15,6 +15,7 @@ from tagloom.operators import annot as A
 from tagloom.operators import reads as R
 from tagloom.operators.packed import first_values
 from tagloom.plans.common import dna, dna_sql
+from tagloom.plans.problems import entries_sql
 from tagloom.session import table
 
 SAMPLES = [R.Sample("s1", "ATCACG", 2), R.Sample("s2", "CGATGT", 2), R.Sample("s3", "TTAGGC", 2), R.Sample("s4", "TGACCA", 2)]
@@ -31,7 +32,7 @@ def q_flag_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_priority_score(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "tagaln").filter("pflags IS NOT NULL").select("row_no", FL.priority_score(F.col("pflags")).alias("score"))
+    return table(spark, folder, "tagaln").select("row_no", FL.priority_score(F.col("pflags")).alias("score"))
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -232,7 +233,7 @@ _RC = "translate(reverse({}),'ATUGCatugc','TAACGtaacg')"
 
 ORACLE: dict[str, str] = {
     "q_flag_filter": "SELECT sample, count(*) AS n_good, count(*) FILTER (coalesce(polya_len,-1) >= 5 OR pflags & 8192 <> 0) AS n_intact FROM taginfo WHERE pflags & 8064 = 0 GROUP BY sample",
-    "q_priority_score": "SELECT row_no, 1024*(pflags&16=0)::INT + 512*(pflags&128=0)::INT + 256*(pflags&2=0)::INT + 128*(pflags&8<>0)::INT + 64*(pflags&2048=0)::INT + 32*(pflags&512=0)::INT + 16*(pflags&1024=0)::INT + 8*(pflags&64=0)::INT + 4*(pflags&32=0)::INT + 2*(pflags&1<>0)::INT AS score FROM tagaln WHERE pflags IS NOT NULL",
+    "q_priority_score": "SELECT row_no, 1024*(pflags&16=0)::INT + 512*(pflags&128=0)::INT + 256*(pflags&2=0)::INT + 128*(pflags&8<>0)::INT + 64*(pflags&2048=0)::INT + 32*(pflags&512=0)::INT + 16*(pflags&1024=0)::INT + 8*(pflags&64=0)::INT + 4*(pflags&32=0)::INT + 2*(pflags&1<>0)::INT AS score FROM tagaln",
     "q_demux_hamming": _DEMUX.replace("WITHCONTROL", "starts_with(idx,'AA')") + "SELECT o_orderkey, sample, mismatches, CASE WHEN mismatches > 0 THEN 16 ELSE 0 END AS pflags FROM a",
     "q_demux_counters": _DEMUX.replace("WITHCONTROL", "false")
     + f", f AS (SELECT *, ({_mm('ACG', 'seq', 11)}) <= 2 AS fp, {_GOOD.format(_QUAL.format('seq', 20), 1)} >= 10 AS qc, least({', '.join(_delim('GTC', 15 + o) for o in (0, -1, 1))}) <= 1 AS dl FROM a) "
@@ -263,10 +264,10 @@ SELECT k AS o_orderkey, (20 + k%11) + 5 + k%100 + 9 + 2 + 3 AS ref_span, (20 + k
 d AS (SELECT o_orderkey, clip, CASE WHEN rev THEN s ELSE {_RC.format("s")} END AS q, CASE WHEN rev THEN f ELSE {_RC.format("f")} END AS w FROM r),
 a AS (SELECT *, CASE WHEN substr(q, 19 - clip::INT, 1) <> substr(w,1,1) THEN 2 WHEN substr(q, 20 - clip::INT, 1) <> substr(w,2,1) THEN 1 ELSE 0 END AS more FROM d)
 SELECT o_orderkey, substr(q, 21 - (clip + more)::INT) AS tail FROM a""",
-    "q_version_strip": """SELECT line_no, t AS transcript_id, split_part(t,'.',1) AS bare FROM (SELECT line_no, regexp_extract(attribute,'transcript_id "([^"]+)"',1) AS t FROM gtf WHERE attribute IS NOT NULL) WHERE t <> ''""",
-    "q_id_format": "SELECT sample, format('{}:{:08d}', tile, cluster) AS short_name, format('{}:{:08d}:{:04x}:{:d}:{:d}:{}', tile, cluster, pflags, clones, polya_len, mods) AS long_name FROM taginfo WHERE mods IS NOT NULL AND polya_len BETWEEN 5 AND 20",
+    "q_version_strip": entries_sql() + ", t AS (SELECT line_no, arg_min(value, i) AS t FROM n WHERE name = 'transcript_id' GROUP BY line_no) SELECT line_no, t AS transcript_id, split_part(t,'.',1) AS bare FROM t WHERE t <> ''",
+    "q_id_format": "SELECT sample, format('{}:{:08d}', tile, cluster) AS short_name, format('{}:{:08d}:{:04x}:{:d}:{:d}:{}', tile, cluster, pflags, clones, coalesce(polya_len, -1), coalesce(mods, '')) AS long_name FROM taginfo",
     "q_parse_read_id": "SELECT row_no, split_part(qname,':',1) AS tile, TRY_CAST(split_part(qname,':',2) AS BIGINT) AS cluster FROM tagaln",
-    "q_levenshtein_pairs": """WITH t AS (SELECT * FROM tagcluster WHERE umi_rep IS NOT NULL AND rname IS NOT NULL), m AS (SELECT a.tag_id AS a, b.tag_id AS b, a.umi_rep AS x, b.umi_rep AS y FROM t a JOIN t b ON a.rname=b.rname AND a.pos=b.pos AND substr(a.umi_rep,1,3)=substr(b.umi_rep,1,3) AND a.tag_id<b.tag_id)
+    "q_levenshtein_pairs": """WITH t AS (SELECT * FROM tagcluster WHERE umi_rep IS NOT NULL AND rname IS NOT NULL), m AS (SELECT a.tag_id AS a, b.tag_id AS b, a.umi_rep AS x, b.umi_rep AS y FROM t a JOIN t b ON a.rname=b.rname AND a.pos=b.pos AND a.tag_id<b.tag_id)
 SELECT a AS id_a, b AS id_b, CASE WHEN levenshtein(x,y) <= 2 THEN levenshtein(x,y) ELSE -1 END AS d, CASE WHEN least(length(x),length(y)) = 0 THEN 0 ELSE hamming(substr(x,1,least(length(x),length(y))), substr(y,1,least(length(x),length(y)))) END AS h FROM m""",
     "q_trimer_l1": f"""WITH p AS (SELECT p_partkey, {dna_sql("p_partkey", 12)} AS a, {dna_sql("p_partkey + 1", 12)} AS b FROM part),
 w AS (SELECT p_partkey, substr(a,i,3) AS t, 1 AS k FROM p, range(1,11) r(i) UNION ALL SELECT p_partkey, substr(b,i,3), -1 FROM p, range(1,11) r(i))

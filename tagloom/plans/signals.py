@@ -117,7 +117,7 @@ def q_reservoir(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_smoothed(spark: SparkSession, folder: str) -> DataFrame:
     v = _values(spark, folder).select("vec_id", S.smoothed(F.col("v"), [1.0, 2.0, 1.0]).alias("s"))
-    return v.select("vec_id", F.posexplode("s").alias("place", "x")).filter("place BETWEEN 1 AND 62").select("vec_id", "place", F.round("x", 6).alias("x"))
+    return v.select("vec_id", F.posexplode("s").alias("place", "x")).select("vec_id", "place", F.round("x", 6).alias("x"))
 
 
 def q_seed_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,7 +134,7 @@ _C = "c AS (SELECT vec_id, cy, [round(embedding[cy*4+1]::DOUBLE,4), round(embedd
 _SH = f"{_C}, g AS (SELECT *, list_transform(c, lambda x: greatest(0.0, (x + 0.3) / 0.6)) AS g FROM c), p AS (SELECT *, CASE WHEN list_sum(g) > 0 THEN list_transform(g, lambda x: x / list_sum(g)) END AS p FROM g), s AS (SELECT *, 1 + list_sum(list_transform(p, lambda x: CASE WHEN x > 0 THEN x * ln(greatest(x,1e-300)) ELSE 0 END)) / ln(4) AS en FROM p)"
 
 ORACLE: dict[str, str] = {
-    "q_color_correction": f"WITH {_C} SELECT vec_id, " + ", ".join("round(" + " + ".join(f"c[{k + 1}] * {INVERSE[4 * r + k]!r}::DOUBLE" for k in range(4)) + f", 8) AS s{r}" for r in range(4)) + " FROM c WHERE cy = 0",
+    "q_color_correction": f"WITH {_C} SELECT vec_id, cy::INT AS cycle_no, " + ", ".join("round(" + " + ".join(f"c[{k + 1}] * {INVERSE[4 * r + k]!r}::DOUBLE" for k in range(4)) + f", 8) AS s{r}" for r in range(4)) + " FROM c",
     "q_entropy_downhill": f"WITH {_SH} SELECT vec_id, cy::INT AS cycle_no, round(en,8) AS entropy_score, coalesce(round(en,8) < lag(round(en,8)) OVER (PARTITION BY vec_id ORDER BY cy), false) AS downhill FROM s",
     "q_polya_score": f"WITH {_SH}, d AS (SELECT *, list_sum(list_transform(c, lambda x: greatest(x,0.0))) >= 0.05 AND p IS NOT NULL AS lit, floor(p[4]*200) AS b FROM s), z AS (SELECT vec_id, cy, CASE WHEN lit THEN en * CASE WHEN b >= 200 THEN 1.0 ELSE 1/(1+exp(-17.0*((b+0.5)/200-0.6))) END END AS score FROM d) SELECT vec_id, cy::INT AS cycle_no, round(score,7) AS score, score IS NULL AS dark FROM z",
     "q_score_bins": f"WITH {_E} SELECT label, i::INT AS cycle, least(floor(x*50),49)::INT AS bin, count(*) AS n FROM e GROUP BY ALL",
@@ -149,6 +149,6 @@ j AS (SELECT w.*, p.m AS pm, n.m AS nm FROM w LEFT JOIN k p ON p.sample = w.samp
 r AS (SELECT sample, m, row_number() OVER (PARTITION BY sample ORDER BY day) AS a, row_number() OVER (PARTITION BY sample ORDER BY day DESC) AS z FROM k WHERE m IS NOT NULL),
 h AS (SELECT sample, median(m) FILTER (a <= 5) AS hm, median(m) FILTER (z <= 5) AS tm FROM r GROUP BY sample)
 SELECT j.sample, day::INT AS day, round(CASE WHEN m IS NOT NULL THEN m WHEN pd IS NOT NULL AND nd IS NOT NULL THEN pm + (nm-pm)*(day-pd)/(nd-pd)::DOUBLE WHEN pd IS NULL THEN hm ELSE tm END,6) AS m FROM j LEFT JOIN h ON j.sample = h.sample""",
-    "q_smoothed": f"WITH {_E}, s AS (SELECT vec_id, i, (lag(x) OVER w + 2*x + lead(x) OVER w)/4 AS x FROM e WINDOW w AS (PARTITION BY vec_id ORDER BY i)) SELECT vec_id, i::INT AS place, round(x,6) AS x FROM s WHERE i BETWEEN 1 AND 62",
+    "q_smoothed": f"WITH {_E}, s AS (SELECT vec_id, i, (coalesce(lag(x) OVER w, lead(x) OVER w) + 2*x + coalesce(lead(x) OVER w, lag(x) OVER w))/4 AS x FROM e WINDOW w AS (PARTITION BY vec_id ORDER BY i)) SELECT vec_id, i::INT AS place, round(x,6) AS x FROM s",
     "q_fair_sample": f"SELECT o_orderkey, seq FROM (SELECT o_orderkey, {dna_sql('o_orderkey', 4)} AS seq, row_number() OVER (PARTITION BY {dna_sql('o_orderkey', 4)} ORDER BY o_orderkey) AS k FROM orders) WHERE k <= 5",
 }

@@ -44,7 +44,7 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     f = F.split("value", "\t")
     rows = spark.read.text(path).filter(~F.col("value").startswith("@") & (F.length("value") > 0)).select(f.alias("f"))
     at = lambda i: F.get("f", F.lit(i))
-    tags = F.filter(F.slice("f", 12, 10000), lambda t: t.rlike("^[A-Za-z][A-Za-z0-9]:[A-Za-z]:"))
+    tags = F.filter(F.slice("f", F.lit(12), F.greatest(F.size("f"), F.lit(1))), lambda t: t.rlike("^[A-Za-z][A-Za-z0-9]:[A-Za-z]:"))
     keys = F.transform(tags, lambda t: F.substring(t, 1, 2))
     return rows.select(
         at(0).alias("qname"), at(1).cast("int").alias("flag"), at(2).alias("rname"), at(3).cast("int").alias("pos"), at(4).cast("int").alias("mapq"), at(5).alias("cigar"), at(6).alias("rnext"), at(7).cast("int").alias("pnext"), at(8).cast("int").alias("tlen"), at(9).alias("seq"), at(10).alias("qual"),
