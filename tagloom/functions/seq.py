@@ -107,6 +107,15 @@ def ranges_of(seq: Column, ranges: Sequence[tuple[int, int]]) -> Column:
     return F.concat(*[F.substring(seq, a, b - a + 1) for a, b in ranges])
 
 
+def rolling_hash(seq: Column, letters: int = 30) -> Column:
+    """A 63-bit hash of a text's first letters: three bits of each letter's code are shifted
+    in, crossed with the three that leave at the top. Null for null."""
+    code = lambda i: F.ascii(F.substring(seq, i, F.lit(1))).cast("bigint").bitwiseAND(F.lit(7))
+    fold = lambda v, i: F.shiftleft(v, 3).bitwiseOR(code(i).bitwiseXOR(F.shiftright(v, 60))).bitwiseAND(F.lit((1 << 63) - 1))
+    n = F.least(F.length(seq), F.lit(letters))
+    return F.when(n == 0, F.lit(0).cast("bigint")).when(n > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(0).cast("bigint"), fold))
+
+
 def read_name(tile: Column, cluster: Column) -> Column:
     return F.format_string("%s:%08d", tile, cluster.cast("bigint"))
 

@@ -75,10 +75,10 @@ def orphan_references(refs: DataFrame, ref: Column, ref_kind: Column, loaded: Co
     found = picked.filter(~nowhere).withColumn("__bucket", F.shiftright("__key", BITS))
     # a run reaches, for the as-of match, to the next one's start
     following = F.lead("start").over(W.partitionBy("kind", "bucket").orderBy("start"))
-    runs = key_runs(states).withColumn("until", F.coalesce(following, F.lit((1 << 63) - 1).cast("bigint")))
+    runs = key_runs(states).withColumn("until", following)
     runs = runs.select(F.col("kind").alias("__k"), F.col("bucket").alias("__b"), F.col("start").alias("__start"), F.col("end").alias("__end"), F.col("until").alias("__until"))
     same = (F.col("__kind") == F.col("__k")) & (F.col("__bucket") == F.col("__b"))
-    met = found.join(runs, same & (F.col("__key") >= F.col("__start")) & (F.col("__key") < F.col("__until")), "left")
+    met = found.join(runs, same & (F.col("__key") >= F.col("__start")) & (F.col("__until").isNull() | (F.col("__key") < F.col("__until"))), "left")
     hit = met.withColumn("__hit", F.when(F.col("__key") <= F.col("__end"), F.col("__key")))
     side = states.select(F.col("kind").alias("__sk"), F.col("key").alias("__s"), "first_loaded", "all_deleted")
     known = hit.join(side, (F.col("__kind") == F.col("__sk")) & (F.col("__hit") == F.col("__s")), "left")

@@ -28,6 +28,18 @@ def trimmed_read3(seq: Column, delimiter_end: Column, read_start: Column, most:
     return F.substring(seq, start + 1, F.lit(most))
 
 
+def write_seqqual(df: DataFrame, path: str, read5: tuple[int, int], delimiter_end: str, read3_start: int, most: int = 100, by: Sequence[str] = ("sample", "tile")) -> None:
+    """Sequences and qualities of both reads as delimited text: cluster, seq5, qual5, seq3, qual3, a folder per sample and tile.
+
+    ``read5`` is the 5' read's 0-based start and length in ``seq`` and ``qual``; the 3' read
+    begins at the end of the delimiter or, without one, at ``read3_start``.
+    """
+    cut5 = lambda c: F.substring(F.col(c), read5[0] + 1, read5[1])
+    cut3 = lambda c: trimmed_read3(F.col(c), F.col(delimiter_end), F.lit(read3_start), most)
+    rows = df.select(*by, "cluster", cut5("seq").alias("seq5"), cut5("qual").alias("qual5"), cut3("seq").alias("seq3"), cut3("qual").alias("qual3"))
+    rows.repartition(*by).write.mode("overwrite").partitionBy(*by).options(sep="\t", quote="", emptyValue="", nullValue="").csv(path)
+
+
 def fastq_lines(name: Column, seq: Column, qual: Column) -> Column:
     return F.concat(F.lit("@"), name, F.lit("\n"), seq, F.lit("\n+\n"), qual)
 

@@ -13,6 +13,7 @@ import gzip
 import itertools
 import os
 import struct
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tagloom.session import durable, keyed
+
 BLOCK = 65_536
 PACK_TYPE = "tile string, cluster bigint, first_cycle int, packets array<struct<score:int,downhill:boolean>>"
 
@@ -179,7 +182,8 @@ def register(spark: SparkSession) -> None:
 
 
 def signal_packs(spark: SparkSession, path: str) -> DataFrame:
-    """Signal packs (one file per tile, named by it): a header of three numbers, then records of fixed size.
+    """Signal packs (one file per tile, named by it): the size of a packet, the number of clusters and of
+    packets a record, then records of fixed size.
 
     A record is cluster, first cycle, number of valid cycles and packets of one downhill
     bit and a 24-bit score (0: dark).
@@ -204,3 +208,94 @@ def signal_packs(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([tile] * len(r)), pa.array(r["cluster"].astype(np.int64)), pa.array(r["first"].astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), values)], names=["tile", "cluster", "first_cycle", "packets"])
 
     return files.mapInArrow(run, PACK_TYPE)
+
+
+COUNTS_TYPE = "tile string, kind string, cycle int, bin int, n bigint"
+
+
+def score_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Score counts per cycle and bin from binary matrices, one file per tile and kind.
+
+    A file (plain or gzip-compressed, named <kind>_…_<tile>.<ext>) begins with the size of an
+    element, the cycles and the bins, as four-byte numbers; another size than four, or a
+    length that doesn't fit, is an error. Counts of 0 give no row: the long form of the
+    matrix is what the cut-off fit takes.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = content.as_py()
+                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+                size, cycles, bins = struct.unpack("<3I", data[:12])
+                if size != 4:
+                    raise ValueError(f"{name}: elements of {size} bytes, not 4")
+                if len(data) != 12 + size * cycles * bins:
+                    raise ValueError(f"{name}: {len(data)} bytes don't hold {cycles} cycles of {bins} bins")
+                counts = np.frombuffer(data, dtype="<u4", offset=12).reshape(cycles, bins)
+                cycle, at = np.nonzero(counts)
+                base = os.path.basename(name)
+                tile, kind = base.rsplit("_", 1)[-1].split(".")[0], base.split("_", 1)[0]
+                yield pa.RecordBatch.from_arrays([pa.array([tile] * len(at)), pa.array([kind] * len(at)), pa.array(cycle, pa.int32()), pa.array(at, pa.int32()), pa.array(counts[cycle, at].astype(np.int64))], names=["tile", "kind", "cycle", "bin", "n"])
+
+    return files.mapInArrow(run, COUNTS_TYPE)
+
+
+def pack_bytes(first: np.ndarray, cluster: np.ndarray, packets: list[list[tuple[int, bool]]], length: int) -> bytes:
+    """Records of signal packs: packets over ``length`` are an error, missing ones are zeros."""
+    kind = np.dtype([("cluster", "<u4"), ("first", "<i2"), ("valid", "<i2"), ("packets", "<u4", (length,))])
+    out = np.zeros(len(cluster), dtype=kind)
+    out["cluster"], out["first"] = cluster, first
+    for i, own in enumerate(packets):
+        if len(own) > length:
+            raise ValueError(f"cluster {cluster[i]} has {len(own)} cycles, more than {length}")
+        out["valid"][i] = len(own)
+        out["packets"][i, : len(own)] = [(score << 1) | bool(down) for score, down in own]
+    return out.tobytes()
+
+
+def write_signal_packs(df: DataFrame, path: str, length: int) -> DataFrame:
+    """Writes (tile, cluster, first_cycle, packets) as one file of signal packs per tile and
+    returns (tile, path, n).
+
+    The folder must be mounted on all machines. A tile is a file by the format's
+    definition, so its rows stream through one task, in order of cluster; a file appears
+    under its name only when it is whole, so a task that runs again does no harm. Rows
+    with a null tile or cluster are left out, null packets are none.
+    """
+    folder = path.removeprefix("file://").removeprefix("file:")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(folder, exist_ok=True)
+        done: list[tuple[str, str, int]] = []
+        tile, file, n = None, None, 0
+
+        def close() -> None:
+            if file is not None:
+                file.seek(4)
+                file.write(struct.pack("<I", n))
+                file.close()
+                target = os.path.join(folder, f"{tile}.sigpack")
+                os.replace(file.name, target)
+                done.append((tile, target, n))
+
+        for batch in batches:
+            cols = [c.to_pylist() for c in batch.columns]
+            start = 0
+            while start < len(cols[0]):
+                stop = next((i for i in range(start, len(cols[0])) if cols[0][i] != cols[0][start]), len(cols[0]))
+                if cols[0][start] != tile:
+                    close()
+                    tile, n = cols[0][start], 0
+                    file = open(os.path.join(folder, f".{tile}.{os.getpid()}.{uuid.uuid4().hex}"), "wb")  # noqa: SIM115
+                    file.write(struct.pack("<3I", 4, 0, length))
+                packets = [[(p["score"], p["downhill"]) for p in own or []] for own in cols[3][start:stop]]
+                file.write(pack_bytes(np.array(cols[2][start:stop]), np.array(cols[1][start:stop]), packets, length))
+                n += stop - start
+                start = stop
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.string()), pa.array([d[2] for d in done], pa.int64())], names=["tile", "path", "n"])
+
+    rows = df.select("tile", "cluster", "first_cycle", "packets").filter("tile IS NOT NULL AND cluster IS NOT NULL")
+    return durable(keyed(rows, "tile").sortWithinPartitions("tile", "cluster").mapInArrow(run, "tile string, path string, n bigint"))

@@ -77,3 +77,44 @@ def test_sinks(spark, tmp_path):
     sinks.write_statistics(df, str(tmp_path / "stats"))
     assert spark.read.option("header", "true").csv(str(tmp_path / "stats.csv")).count() == 2
     assert df.select(sinks.fasta_lines(F.col("tile"), F.col("seq"), 4)).first()[0] == ">t1\nACGT\nAC"
+
+
+def test_signal_packs_round_trip(spark, tmp_path):
+    rows = [("t1", 7, 3, [(5, True), (0, False)]), ("t1", 2, -1, []), ("t2", 9, 4, [((1 << 24) - 1, False)] * 4), ("t2", 10, 1, None), (None, 1, 1, [])]
+    df = spark.createDataFrame(rows, "tile string, cluster long, first_cycle int, packets array<struct<score:int,downhill:boolean>>")
+    written = binary.write_signal_packs(df, str(tmp_path / "packs"), 4)
+    assert {(r["tile"], r["n"]) for r in written.collect()} == {("t1", 2), ("t2", 2)}
+    got = {(t, c, f): [tuple(p) for p in ps] for t, c, f, ps in (tuple(r) for r in binary.signal_packs(spark, str(tmp_path / "packs")).collect())}
+    assert got == {(t, c, f): p or [] for t, c, f, p in rows if t}
+    import pytest
+
+    with pytest.raises(ValueError):
+        binary.pack_bytes(np.array([1]), np.array([2]), [[(1, True)] * 3], 2)
+
+
+def test_score_counts(spark, tmp_path):
+    counts = np.arange(12, dtype="<u4").reshape(3, 4)
+    (tmp_path / "pos_x_t7.sigdists").write_bytes(gzip.compress(struct.pack("<3I", 4, 3, 4) + counts.tobytes()))
+    (tmp_path / "neg_x_t7.sigdists").write_bytes(struct.pack("<3I", 4, 1, 2) + np.array([0, 9], dtype="<u4").tobytes())
+    got = {tuple(r) for r in binary.score_counts(spark, str(tmp_path)).collect()}
+    assert got == {("t7", "pos", c, b, int(counts[c, b])) for c in range(3) for b in range(4) if counts[c, b]} | {("t7", "neg", 0, 1, 9)}
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "pos_x_t8.sigdists").write_bytes(struct.pack("<3I", 8, 1, 1) + b"0" * 8)
+    try:
+        binary.score_counts(spark, str(tmp_path / "bad")).collect()
+        raise AssertionError("no error")
+    except Exception as e:
+        assert "8 bytes" in str(e)
+
+
+def test_seqqual(spark, tmp_path):
+    df = spark.createDataFrame([("s", "t", 1, "ACGTACGTAC", "ABCDEFGHIJ", 6), ("s", "t", 2, "ACGTACGTAC", "ABCDEFGHIJ", -1)], "sample string, tile string, cluster long, seq string, qual string, d int")
+    sinks.write_seqqual(df, str(tmp_path / "q"), (0, 3), "d", 4, 3)
+    got = spark.read.schema("cluster long, seq5 string, qual5 string, seq3 string, qual3 string, sample string, tile string").option("sep", "\t").csv(str(tmp_path / "q"))
+    assert sorted(tuple(r)[:5] for r in got.collect()) == [(1, "ACG", "ABC", "GTA", "GHI"), (2, "ACG", "ABC", "ACG", "EFG")]
+
+
+def test_many_sam_tags(spark, tmp_path):
+    (tmp_path / "a.sam").write_text("t:1\t0\tc\t1\t9\t2M\t*\t0\t0\tAC\tII\t" + "\t".join(f"{a}{b}:i:{k}" for k, (a, b) in enumerate((chr(65 + i // 26 % 26), chr(97 + i % 26)) for i in range(600))) + "\nt:2\t4\t*\t0\t0\t*\t*\t0\t0\tAC\tII\n")
+    rows = {r["cluster"]: r["tags"] for r in text.sam(spark, str(tmp_path)).collect()}
+    assert len(rows[1]) == 600 and rows[1]["Aa"] == "0" and rows[2] == {}
