@@ -129,26 +129,26 @@ def test_packed_odd_fields(spark):
 def test_wide_keeps_what_does_not_cast(spark):
     rows = [("e", "n", "7", 1), ("e", "n", "99999999999999999999", 2), ("e", "t", "x", 1), ("e", "u", "y", 1), (None, "t", "z", 1)]
     df = spark.createDataFrame(rows, "entity string, name string, value string, at int")
-    resolved = wide.resolve_pairs(df, ["entity"], "name", "value", [F.col("at")])
-    out = {r["entity"]: r for r in wide.widen(resolved, ["entity"], "name", "value", {"n": "bigint", "t": "string"}).collect()}
+    table = wide.widen(df, ["entity"], "name", "value", {"n": "bigint", "t": "string"}, [F.col("at")])
+    out = {r["entity"]: r for r in table.collect()}
     assert out["e"]["n"] is None and out["e"]["cast_failures"] == {"n": "99999999999999999999"}
     assert out["e"]["t"] == "x" and out["e"]["other"] == {"u": "y"}
     assert out[None]["t"] == "z"
-    cells = {tuple(r) for r in wide.unpivot_wide(wide.widen(resolved, ["entity"], "name", "value", {"n": "bigint", "t": "string"}), ["entity"], ["n", "t"]).collect()}
+    cells = {tuple(r) for r in wide.unpivot_wide(table, ["entity"], ["n", "t"]).collect()}
     assert cells == {("e", "n", "99999999999999999999"), ("e", "t", "x"), ("e", "u", "y"), (None, "t", "z")}
 
 
 def test_orphans_on_odd_keys(spark):
     early, late = datetime(2023, 1, 1), datetime(2023, 5, 1)
     parents = spark.createDataFrame([(1, early, None), (2, late, None), (2, late, early), (3, early, early), (1023, early, None), (1024, early, None), (None, early, None)], "k long, loaded timestamp, deleted timestamp")
-    runs = orphans.key_runs(parents, F.col("k"), F.lit("t"), F.col("loaded"), F.col("deleted"))
-    spans = {(r["bucket"], x["start"], x["end"]) for r in runs.collect() for x in r["runs"]}
-    assert {tuple(map(int, s)) for s in spans} == {(0, 1, 3), (0, 1023, 1023), (1, 1024, 1024)}
+    states = orphans.parent_states([(parents, F.col("k"), F.lit("t"), F.col("loaded"), F.col("deleted"))])
+    spans = {(r["bucket"], r["start"], r["end"]) for r in orphans.key_runs(states).collect()}
+    assert spans == {(0, 1, 3), (3, 1023, 1023), (4, 1024, 1024)}
     march = datetime(2023, 3, 1)
     values = [" 1", "001", "2.0", "3", "4", "1023", "1024", "1025", "-5", "x", "", " ", "\\N", None, "9" * 60]
     refs = spark.createDataFrame([(i, v, "t", march) for i, v in enumerate(values)] + [(90, "1", None, march), (91, "1", "other", march), (92, "2", "t", None)], "row_no long, ref string, kind string, loaded timestamp")
-    got = {r["row_no"]: (r["period"], r["kind"]) for r in orphans.orphan_references(refs, F.col("ref"), F.col("kind"), F.col("loaded"), runs, [F.col("row_no")]).collect()}
+    got = {r["row_no"]: (r["period"], r["kind"]) for r in orphans.orphan_references(refs, F.col("ref"), F.col("kind"), F.col("loaded"), states, [F.col("row_no")]).collect()}
     want = {2: "late", 3: "deleted", 4: "missing", 7: "missing", 8: "missing", 9: "missing", 14: "missing", 90: "missing", 91: "missing"}
     assert got == {k: ("2023-03", v) for k, v in want.items()}
-    none = orphans.key_runs(parents.limit(0), F.col("k"), F.lit("t"), F.col("loaded"), F.col("deleted"))
+    none = orphans.parent_states([(parents.limit(0), F.col("k"), F.lit("t"), F.col("loaded"), F.col("deleted"))])
     assert orphans.orphan_references(refs.filter("row_no < 2"), F.col("ref"), F.col("kind"), F.col("loaded"), none, [F.col("row_no")]).count() == 2
