@@ -135,6 +135,9 @@ class PrefixEncoder:
             if start == 0 or (back[start] >= 0 and adjacent(last[start], token)):
                 last[end], back[end] = token, start
         out, at = array("i"), len(data)
+        if back[at] < 0 < at:
+            # every byte is a token, so each prefix has an encoding unless the vocabulary lacks one
+            raise ValueError(f"the vocabulary can't encode {piece!r}")
         while at > 0:
             out.append(last[at])
             at = back[at]
