@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -145,10 +146,30 @@ _T = "t AS (SELECT *, printf('g%04d', cluster % 200) AS gene FROM taginfo WHERE
 _CUBE = f"""{_T}, g AS (SELECT gene, polya_len AS length, mods, CASE WHEN polya_len >= 5 OR pflags & 8192 <> 0 THEN 'canonical' ELSE 'noncanonical' END AS tailtype FROM t WHERE pflags & 8064 = 0),
 m AS (SELECT *, CASE c WHEN 'T' THEN 'U' ELSE c END AS modtype, least(20, length(mods) - length(rtrim(mods, c)))::INT AS modcount FROM g, (SELECT unnest(['T','G','C']) AS c)),
 cube AS (SELECT gene, modtype, tailtype, length, modcount, count(*) AS n FROM m WHERE length BETWEEN 0 AND CASE tailtype WHEN 'canonical' THEN 232 ELSE 4 END GROUP BY ALL)"""
-# one-sided 95 % quantile of Student's t for n values: fixed values of the public table up to nine degrees of freedom, then the series in 1/df
+def _t95(df: int) -> float:
+    """One-sided 95 % quantile of Student's t by bisection on its finite trigonometric series (whole degrees of freedom)."""
+
+    def between(t: float) -> float:
+        angle = math.atan2(t, math.sqrt(df))
+        c, term = math.cos(angle), math.cos(angle) if df % 2 else 1.0
+        total = 0.0
+        for k in range(1 if df % 2 else 0, df - 1, 2):
+            total += term
+            term *= c * c * (k + 1) / (k + 2)
+        return 2 / math.pi * (angle + math.sin(angle) * total) if df % 2 else math.sin(angle) * total
+
+    lo, hi = 0.0, 10.0
+    while hi - lo > 1e-14 * hi:
+        lo, hi = ((lo + hi) / 2, hi) if between((lo + hi) / 2) < 0.9 else (lo, (lo + hi) / 2)
+        if (lo + hi) / 2 in (lo, hi):
+            break
+    return lo
+
+
+# few degrees of freedom from the list, then the series in 1/df
 _Q = "1.6448536269514722::DOUBLE"
 _T95 = (
-    "CASE WHEN n <= 1 THEN 0 WHEN n <= 10 THEN [6.313751514675043, 2.919985580353725, 2.353363434801823, 2.131846786326649, 2.015048373333024, 1.943180280515303, 1.894578605090007, 1.859548037530899, 1.833112932653639][n::BIGINT - 1] ELSE "
+    f"CASE WHEN n <= 1 THEN 0 WHEN n <= 60 THEN [{', '.join(repr(_t95(k)) for k in range(1, 60))}][n::BIGINT - 1] ELSE "
     f"{_Q} + (pow({_Q},3) + {_Q})/(4*(n-1)) + (5*pow({_Q},5) + 16*pow({_Q},3) + 3*{_Q})/(96*pow(n-1,2)) + (3*pow({_Q},7) + 19*pow({_Q},5) + 17*pow({_Q},3) - 15*{_Q})/(384*pow(n-1,3)) + (79*pow({_Q},9) + 776*pow({_Q},7) + 1482*pow({_Q},5) - 1920*pow({_Q},3) - 945*{_Q})/(92160*pow(n-1,4)) END"
 )
 
