@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import flags as FL
 from tagloom.functions import seq as S
-from tagloom.operators.wstats import geometric_mean_ci, weighted_quantiles
-from tagloom.session import durable
+from tagloom.operators.wstats import interval_of_sums, weighted_quantiles
 
 #: The length windows (from, up to but not including).
 LENGTH_WINDOWS = ((0, 1), (1, 4), (1, 6), (1, 16), (5, 11), (5, 16), (5, 26), (8, 16), (8, 26), (16, 26), (26, 41), (41, 100))
@@ -62,7 +61,6 @@ def gene_statistics(cube: DataFrame, short: int = 5, confidence: float = 0.95) -
     """
     # one pass over the cube: what is left has a row per gene, letter, kind of tail and length
     by = cube.groupBy("gene", "modtype", "tailtype", "length").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("modcount")).alias("mods"))
-    by = durable(by)
     u, canonical, n, length = F.col("modtype") == "U", F.col("tailtype") == "canonical", F.col("n"), F.col("length")
     total = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
     mean = lambda cond: F.try_divide(F.sum(F.when(cond, F.col("mods"))), F.sum(F.when(cond, n)))
@@ -77,11 +75,17 @@ def gene_statistics(cube: DataFrame, short: int = 5, confidence: float = 0.95) -
         aggs.append(total(u & inside).alias(f"polyA_tag_count_{name}"))
         aggs += [mean((F.col("modtype") == letter) & inside).alias(f"average_{letter}_{name}") for letter in "UGC"]
     aggs += [mean((F.col("modtype") == letter) & ~canonical).alias(f"average_{letter}_noncanonical") for letter in "UGC"]
+    own = u & canonical
+    long = own & (length >= short)
+    k, lx = F.when(long, n.cast("double")).otherwise(0.0), F.when(long, F.log(F.greatest(length, F.lit(1)).cast("double"))).otherwise(0.0)
+    aggs += [F.sum(k).alias("__k"), F.sum(k * lx).alias("__s"), F.sum(k * lx * lx).alias("__ss")]
     wide = by.groupBy("gene").agg(*aggs)
-    lengths = by.filter(u & canonical).select("gene", "length", "n")
-    means = geometric_mean_ci(lengths, ["gene"], "length", "n", short, confidence).select("gene", F.col("mean").alias("polyA_mean"), F.col("ci_lo").alias("polyA_mean_ci_lo"), F.col("ci_hi").alias("polyA_mean_ci_hi"))
+    mean_, lo, hi = interval_of_sums(F.col("__k"), F.col("__s"), F.col("__ss"), confidence)
+    # taken from the same rows and columns as above, unfiltered, so that their exchange is used again instead of a second scan
+    lengths = by.groupBy("gene", "length").agg(F.sum(F.when(own, n)).alias("n"), F.sum("mods").alias("__m")).filter("n > 0 AND __m >= 0")
     medians = weighted_quantiles(lengths, ["gene"], "length", "n", (0.5,)).select("gene", F.col("q50").alias("polyA_median"))
-    return wide.join(means, "gene", "left").join(medians, "gene", "left")
+    out = wide.join(medians, "gene", "left")
+    return out.select("*", *[F.when(F.col("polyA_median").isNotNull(), c).alias(name) for c, name in ((mean_, "polyA_mean"), (lo, "polyA_mean_ci_lo"), (hi, "polyA_mean_ci_hi"))]).drop("__k", "__s", "__ss")
 
 
 def merge_samples(long: DataFrame, row: str, sample: str, samples: Sequence[str], stats: Sequence[str], total: str, names: DataFrame | None = None, name_key: str | None = None) -> DataFrame:

@@ -134,16 +134,22 @@ def geometric_mean_ci(hist: DataFrame, groups: Sequence[str], value: str, n: str
     k, lx = F.when(ok, F.col(f"`{n}`").cast("double")).otherwise(0.0), F.when(ok, F.log(F.col(f"`{value}`"))).otherwise(0.0)
     sums = hist.groupBy(*gs).agg(F.sum(k).alias("count"), F.sum(k * lx).alias("s"), F.sum(k * lx * lx).alias("ss"))
 
+    mean, lo, hi = interval_of_sums(F.col("count"), F.col("s"), F.col("ss"), confidence)
+    return sums.select(*gs, F.col("count").cast("bigint").alias("count"), mean.alias("mean"), lo.alias("ci_lo"), hi.alias("ci_hi"))
+
+
+def interval_of_sums(count: Column, s: Column, ss: Column, confidence: float = 0.95) -> tuple[Column, Column, Column]:
+    """Geometric mean and its confidence limits from the number of values and the sums of their logs and of these' squares."""
+
     @F.pandas_udf("double")
     def quantile(counts: pd.Series) -> pd.Series:
         known = {c: (t_quantile(confidence, c - 1) if c > 1 else 0.0) for c in counts.unique()}
         return counts.map(known).astype(float)
 
-    mean = F.when(F.col("count") > 0, F.try_divide(F.col("s"), F.col("count"))).otherwise(F.lit(float("nan")))
-    var = F.greatest(F.try_divide(F.col("ss"), F.col("count")) - mean * mean, F.lit(0.0))
-    half = F.when(F.col("count") > 1, quantile(F.col("count")) * F.sqrt(F.try_divide(var, F.col("count")))).otherwise(0.0)
-    out = sums.withColumn("half", half).withColumn("m", mean)
-    return out.select(*gs, F.col("count").cast("bigint").alias("count"), F.exp("m").alias("mean"), F.exp(F.col("m") - F.col("half")).alias("ci_lo"), F.exp(F.col("m") + F.col("half")).alias("ci_hi"))
+    mean = F.when(count > 0, F.try_divide(s, count)).otherwise(F.lit(float("nan")))
+    var = F.greatest(F.try_divide(ss, count) - mean * mean, F.lit(0.0))
+    half = F.when(count > 1, quantile(count) * F.sqrt(F.try_divide(var, count))).otherwise(0.0)
+    return F.exp(mean), F.exp(mean - half), F.exp(mean + half)
 
 
 def accuracy_table(df: DataFrame, group: str, value: str, weight: str, qs: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
